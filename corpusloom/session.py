@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
@@ -25,6 +29,27 @@ def local_session(cores: int = 8, memory: str = "8g", **conf: str) -> SparkSessi
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        root = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="corpusloom-package-")
+        ignored = shutil.ignore_patterns("__pycache__", "*.pyc")
+        shutil.copytree(root, Path(folder, "package", root.name), ignore=ignored)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/corpusloom", "zip", f"{folder}/package"))
+        _shipped.add(application)
+
+
+def arrow_function(spark: SparkSession, f: Callable, returns: str) -> Callable:
+    """An Arrow function over columns whose workers can import this package."""
+    ship_package(spark)
+    return F.arrow_udf(f, returns)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Checkpoint into the shared folder of ``spark.checkpoint.dir``.
 
