@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import mixing, packing, tokens
+from corpusloom.llm import forms, mixing, packing, quality, repetition, tokens
 from corpusloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,36 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+@query("p1_found")
+def _(spark, d):
+    return forms.look_alike_pairs(table(spark, d, "documents"))
+
+
+@query("p1_forms")
+def _(spark, d):
+    return forms.with_form(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query("p3_found")
+def _(spark, d):
+    return quality.not_prose(table(spark, d, "documents"))
+
+
+@query("p3_statistics")
+def _(spark, d):
+    return quality.text_statistics(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "quality.*")
+
+
+@query("p4_found")
+def _(spark, d):
+    return repetition.Repetition(table(spark, d, "documents")).repetitive()
+
+
+@query("p4_shares")
+def _(spark, d):
+    return repetition.Repetition(table(spark, d, "documents")).flagged()
+
+
 @query("p5_found")
 def _(spark, d):
     return tokens.misestimated(table(spark, d, "accepted"))
