@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import forms, mixing, packing, quality, repetition, tokens
+from corpusloom.llm import forms, mixing, packing, quality, repetition, tokens, truncation
 from corpusloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,13 @@ def _(spark, d):
 @query("p8_report")
 def _(spark, d):
     return mixing.Mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")).report()
+
+
+@query("p9_found")
+def _(spark, d):
+    return truncation.cut_texts(table(spark, d, "documents")).filter("cut AND doc_id IS NOT NULL").select("doc_id").distinct()
+
+
+@query("p9_source_rates")
+def _(spark, d):
+    return truncation.cut_rates(truncation.cut_texts(table(spark, d, "documents")))
