@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import forms, mixing, packing, quality, repetition, tokens, truncation
+from corpusloom.llm import flow, forms, mixing, packing, quality, repetition, splits, tokens, truncation
 from corpusloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,38 @@ def _(spark, d):
     return forms.with_form(table(spark, d, "documents").select("doc_id", "text"))
 
 
+_TYPE = "lower(trim(coalesce(nullif(trim({0}), ''), {1})))"
+_LABEL = "CASE WHEN {0} IN ('case law', 'case-law', 'case_law') THEN 'caselaw' WHEN {0} = 'legal_mc4' THEN 'legal-mc4' ELSE {0} END"
+_PLACE = "CASE lower(trim({0})) WHEN 'us' THEN 'US' WHEN 'eu' THEN 'EU' WHEN 'uk' THEN 'UK' WHEN 'switzerland' THEN 'Switzerland' WHEN 'n/a' THEN 'N/A' WHEN 'na' THEN 'N/A' ELSE trim({0}) END"
+
+
+@query(
+    "p2_found",
+    f"""
+    WITH records AS (
+        SELECT source_file, source_row, min({_LABEL.format(_TYPE.format("type", "text_type"))}) AS t, min({_PLACE.format("jurisdiction")}) AS j
+        FROM legal_raw GROUP BY ALL
+    )
+    SELECT s.type, s.jurisdiction FROM sampling_targets s
+    LEFT JOIN (SELECT t, j, count(*) AS n FROM records GROUP BY ALL) c
+        ON c.t = {_LABEL.format(_TYPE.format("s.type", "NULL"))} AND c.j = {_PLACE.format("s.jurisdiction")}
+    WHERE coalesce(c.n, 0) < greatest(s.min_rows, s.target_share::DECIMAL(18, 9) * (SELECT count(*) FROM records) / 5)
+    """,
+)
+def _(spark, d):
+    return flow.StratifiedSample(table(spark, d, "legal_raw"), table(spark, d, "sampling_targets")).short()
+
+
+@query("p2_report")
+def _(spark, d):
+    return flow.StratifiedSample(table(spark, d, "legal_raw"), table(spark, d, "sampling_targets")).report()
+
+
+@query("p2_sample")
+def _(spark, d):
+    return flow.StratifiedSample(table(spark, d, "legal_raw"), table(spark, d, "sampling_targets")).sample()
+
+
 @query("p3_found")
 def _(spark, d):
     return quality.not_prose(table(spark, d, "documents"))
@@ -66,6 +98,22 @@ def _(spark, d):
     return tokens.token_budget([table(spark, d, "accepted"), table(spark, d, "documents")])
 
 
+@query("p6_found")
+def _(spark, d):
+    return splits.group_pairs(splits.tied_groups(table(spark, d, "sft_records")))
+
+
+@query("p6_splits")
+def _(spark, d):
+    return splits.assign_splits(table(spark, d, "sft_records"), table(spark, d, "split_targets")).select("id", "direction", "policy_group", "component", "assigned_split")
+
+
+@query("p6_report")
+def _(spark, d):
+    targets = table(spark, d, "split_targets")
+    return splits.split_report(splits.assign_splits(table(spark, d, "sft_records"), targets), targets)
+
+
 def _capacity(spark: SparkSession, d: str) -> int:
     return table(spark, d, "pack_capacities").filter("pack_name = 'sft_sequence'").first().capacity_tokens
 
