@@ -35,3 +35,12 @@ def estimated_tokens(c: Column | str) -> Column:
 def text_bytes(c: Column | str) -> Column:
     """UTF-8 length; null counts as empty."""
     return F.coalesce(F.octet_length(_col(c)), F.lit(0)).cast("long")
+
+
+def once(c: Column) -> Column:
+    """The same value, which the optimizer takes for one that may differ each time and so never computes twice.
+
+    For costly expressions that later steps name several times or filter by: inlined into each
+    of them they would be evaluated again and again.
+    """
+    return F.when(F.rand() >= 0, c)

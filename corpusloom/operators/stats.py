@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import text_bytes, tokens_of_words, word_count
@@ -41,3 +41,19 @@ def grouping_set_stats(df: DataFrame, sets: Sequence[Sequence[str]], text: str =
     return grouped.agg(*_sums(), (F.lit(len(keys)) - F.bit_count(gid)).cast("long").alias("level")).select(
         *keys, "level", "documents", "text_bytes", "words", "estimated_tokens"
     )
+
+
+def global_summary(df: DataFrame, text: str = "text", labels: Sequence[str] = ("type", "jurisdiction", "source")) -> DataFrame:
+    """One row of totals and of counters for missing (null or empty) texts and labels."""
+    missing = [F.count_if(F.coalesce(F.col(c), F.lit("")) == "").alias(f"missing_{c}") for c in (text, *labels)]
+    return _measured(df, text).agg(*_sums(), *missing)
+
+
+def rollup_shares(df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
+    """Totals by each key alone with their share of all estimated tokens; ``level`` names the key."""
+    parts = None
+    for k in keys:
+        part = grouped_stats(df, [k], text).select(F.lit(k).alias("level"), F.col(k).alias("value"), "documents", "estimated_tokens")
+        parts = part if parts is None else parts.unionByName(part)
+    share = F.try_divide(F.col("estimated_tokens"), F.sum("estimated_tokens").over(Window.partitionBy("level")))
+    return parts.withColumn("token_share", share)

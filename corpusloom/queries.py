@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.labels import jurisdiction_label, type_label
-from corpusloom.operators import stats
+from corpusloom.config import NearDuplicates, Rules
+from corpusloom.functions.hashing import sampled, split_of, stable_id, threshold_hex
+from corpusloom.functions.labels import jurisdiction_label, language_label, source_label, split_label, type_label
+from corpusloom.operators import components, decontam, dedup, normalize, perplexity, rules, sampling, sft, shards, stats
+from corpusloom.plans import accept
 from corpusloom.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+SEED = 42
 
 
 def query(name: str, sql: str | None = None):
@@ -27,9 +31,445 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-@query("stats_by_group")
+# Parts of the SQL.
+_SPACE = r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WORDS = f"len(regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+'))"
+_TOKENS = "CAST(floor(CAST({0} AS DOUBLE) * CAST(1.3 AS DOUBLE)) AS BIGINT)"
+
+
+def sql_type(c: str, other: str = "NULL") -> str:
+    """SQL of ``type_label``."""
+    low = f"lower(trim(coalesce(nullif(trim({c}), ''), nullif(trim({other}), ''))))"
+    return f"coalesce(CASE WHEN {low} IN ('case law', 'case-law', 'case_law') THEN 'caselaw' WHEN {low} = 'legal_mc4' THEN 'legal-mc4' ELSE {low} END, 'UNKNOWN')"
+
+
+def sql_place(c: str) -> str:
+    """SQL of ``jurisdiction_label``."""
+    names = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in {"us": "US", "eu": "EU", "uk": "UK", "switzerland": "Switzerland", "n/a": "N/A", "na": "N/A"}.items())
+    return f"coalesce(CASE lower(trim({c})) {names} ELSE nullif(trim({c}), '') END, 'UNKNOWN')"
+
+
+def sql_source(c: str) -> str:
+    """SQL of ``source_label``."""
+    return f"coalesce(replace(lower(nullif(trim({c}), '')), '_', '-'), 'UNKNOWN')"
+
+
+def sql_language(c: str) -> str:
+    """SQL of ``language_label``."""
+    return f"coalesce(split_part(replace(lower(nullif(trim({c}), '')), '_', '-'), '-', 1), 'und')"
+
+
+_SUMS = f"count(*) AS documents, CAST(sum(strlen(text)) AS BIGINT) AS text_bytes, CAST(sum(w) AS BIGINT) AS words, {_TOKENS.format('sum(w)')} AS estimated_tokens"
+_DOCS = f"(SELECT *, {_WORDS} AS w, {sql_type('type')} AS t, {sql_place('jurisdiction')} AS j, {sql_source('source')} AS s FROM documents)"
+_FIRST = f"""(
+    SELECT id, source_file, source_row, {sql_type('type')} AS t, {sql_place('jurisdiction')} AS j, coalesce(estimated_tokens, 0) AS tokens, loaded_at
+    FROM accepted QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at) = 1
+)"""
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    labels = {"type": type_label("type"), "jurisdiction": jurisdiction_label("jurisdiction"), "source": source_label("source")}
+    return table(spark, d, "documents").withColumns(labels)
+
+
+def _accepted(spark: SparkSession, d: str) -> DataFrame:
+    """Each accepted record once, at its first delivery."""
+    rows = table(spark, d, "accepted").select(
+        "id", "source_file", "source_row", type_label("type").alias("type"), jurisdiction_label("jurisdiction").alias("jurisdiction"),
+        F.coalesce("estimated_tokens", F.lit(0)).alias("tokens"), "loaded_at",
+    )
+    first = F.min(F.struct("loaded_at", "source_file", "source_row", "type", "jurisdiction", "tokens")).alias("f")
+    return rows.groupBy("id").agg(first).select("id", "f.*")
+
+
+@query("stats_by_group", f"SELECT t AS type, j AS jurisdiction, {_SUMS} FROM {_DOCS} GROUP BY ALL")
+def _(spark, d):
+    return stats.grouped_stats(_documents(spark, d), ["type", "jurisdiction"])
+
+
+@query(
+    "stats_grouping_sets",
+    f"""SELECT t AS type, j AS jurisdiction, s AS source, CAST(CASE WHEN grouping(t) = 1 THEN 0 WHEN grouping(s) = 1 THEN 2 ELSE 3 END AS BIGINT) AS level, {_SUMS}
+    FROM {_DOCS} GROUP BY GROUPING SETS ((t, j), (t, j, s), ())""",
+)
+def _(spark, d):
+    return stats.grouping_set_stats(_documents(spark, d), [["type", "jurisdiction"], ["type", "jurisdiction", "source"], []])
+
+
+@query(
+    "rollup_shares",
+    f"""WITH p AS (
+        SELECT 'type' AS level, t AS value, {_SUMS} FROM {_DOCS} GROUP BY t UNION ALL SELECT 'jurisdiction', j, {_SUMS} FROM {_DOCS} GROUP BY j
+    ) SELECT level, value, documents, estimated_tokens, round(estimated_tokens / sum(estimated_tokens) OVER (PARTITION BY level), 9) AS token_share FROM p""",
+)
+def _(spark, d):
+    return stats.rollup_shares(_documents(spark, d), ["type", "jurisdiction"]).withColumn("token_share", F.round("token_share", 9))
+
+
+_MISSING = ", ".join(f"count(*) FILTER (coalesce({c}, '') = '') AS missing_{c}" for c in ("text", "type", "jurisdiction", "source"))
+
+
+@query("global_summary", f"SELECT {_SUMS}, {_MISSING} FROM (SELECT *, {_WORDS} AS w FROM legal_raw)")
+def _(spark, d):
+    return stats.global_summary(table(spark, d, "legal_raw"))
+
+
+@query("file_totals", f"SELECT source_file, {_SUMS} FROM (SELECT *, {_WORDS} AS w FROM legal_raw) GROUP BY ALL")
+def _(spark, d):
+    return stats.grouped_stats(table(spark, d, "legal_raw"), ["source_file"])
+
+
+_KEY = "chr(0) || source_file || chr(0) || source_row"
+
+
+@query("stable_ids", f"SELECT 'sha256:' || sha256('legal' || {_KEY}) AS id, count(*) AS deliveries FROM legal_raw GROUP BY ALL")
+def _(spark, d):
+    rows = table(spark, d, "legal_raw").select(stable_id(F.lit("legal"), "source_file", "source_row").alias("id"))
+    return rows.groupBy("id").agg(F.count(F.lit(1)).alias("deliveries"))
+
+
+@query("ratio_sample", f"SELECT source_file, source_row, count(*) AS deliveries FROM legal_raw WHERE substr(sha256('{SEED}' || chr(0) || 'slimpajama' || {_KEY}), 1, 16) < '{threshold_hex(0.1)}' GROUP BY ALL")
+def _(spark, d):
+    rows = table(spark, d, "legal_raw").filter(sampled(SEED, "slimpajama", "source_file", "source_row", 0.1))
+    return rows.groupBy("source_file", "source_row").agg(F.count(F.lit(1)).alias("deliveries"))
+
+
+_CHANCES = {("caselaw", "US"): 0.05, ("contracts", "US"): 0.25, ("legislation", "EU"): 0.5, ("legislation", "Switzerland"): 1.0}
+_CHANCE_SQL = " OR ".join(
+    f"(t = '{k}' AND j = '{p}'" + ("" if threshold_hex(c) is None else f" AND substr(sha256('{SEED}' || chr(0) || 'legal' || {_KEY}), 1, 16) < '{threshold_hex(c)}'") + ")" for (k, p), c in _CHANCES.items()
+)
+
+
+@query("bernoulli_by_stratum", f"SELECT source_file, source_row, t AS type, j AS jurisdiction FROM (SELECT DISTINCT source_file, source_row, {sql_type('type', 'text_type')} AS t, {sql_place('jurisdiction')} AS j FROM legal_raw) WHERE {_CHANCE_SQL}")
+def _(spark, d):
+    rows = table(spark, d, "legal_raw").select("source_file", "source_row", type_label("type", "text_type").alias("type"), jurisdiction_label("jurisdiction").alias("jurisdiction")).distinct()
+    return sampling.bernoulli_by_stratum(rows, _CHANCES, SEED, "legal")
+
+
+@query(
+    "shuffle_order",
+    f"""SELECT id, priority, bucket, sha256('{SEED}' || chr(0) || 'bucket' || chr(0) || bucket) AS bucket_key FROM (
+        SELECT *, CAST(('0x' || substr(priority, 15, 2))::INTEGER % 128 AS BIGINT) AS bucket FROM (SELECT id, sha256('{SEED}' || chr(0) || id) AS priority FROM {_FIRST}))""",
+)
+def _(spark, d):
+    return sampling.shuffled(_accepted(spark, d).select("id"), SEED)
+
+
+_MARK_SPACE = r"[\x{09}-\x{0d}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_MARKER = (
+    rf"(?i){_MARK_SPACE}*(?:page{_MARK_SPACE}+\p{{Nd}}{{1,6}}(?:{_MARK_SPACE}+(?:of|/){_MARK_SPACE}*\p{{Nd}}{{1,6}})?|\p{{Nd}}{{1,6}}{_MARK_SPACE}+(?:of|/){_MARK_SPACE}*\p{{Nd}}{{1,6}}"
+    rf"|lines?{_MARK_SPACE}+\p{{Nd}}{{1,7}}(?:{_MARK_SPACE}*[-–]{_MARK_SPACE}*\p{{Nd}}{{1,7}})?){_MARK_SPACE}*"
+)
+_UNMARKED = f"array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_full_match(x, '{_MARKER}')), chr(10))"
+
+
+@query("page_marker_removal", f"SELECT doc_id, sha256(c) AS cleaned, c <> text AS changed FROM (SELECT doc_id, text, {_UNMARKED} AS c FROM documents)")
+def _(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", "text", rules.without_markers(F.col("text")).alias("c"))
+    return rows.select("doc_id", F.sha2("c", 256).alias("cleaned"), (F.col("c") != F.col("text")).alias("changed"))
+
+
+@query("run_collapse")
 def _(spark, d):
-    docs = table(spark, d, "documents").select(
-        type_label("type").alias("type"), jurisdiction_label("jurisdiction").alias("jurisdiction"), "text"
+    return table(spark, d, "documents").select("doc_id", rules.without_runs(F.col("text")).alias("text"))
+
+
+_RULES = Rules(collapse_repeated_punctuation=False)
+_METRICS = f"""
+    SELECT doc_id, type, length(c) AS chars, len(w) AS words,
+        CASE WHEN length(regexp_replace(c, '[{_SPACE}]', '', 'g')) > 0 THEN length(regexp_replace(c, '[^\\p{{L}}]', '', 'g')) / length(regexp_replace(c, '[{_SPACE}]', '', 'g')) ELSE 0 END AS alphabetic,
+        (length(c) - length(replace(c, chr(65533), ''))) / greatest(length(c), 1) AS replacement,
+        CASE WHEN len(l) > 0 THEN (len(l) - list_unique(l)) / len(l) ELSE 0 END AS lines,
+        CASE WHEN len(w) >= 10 THEN (len(w) - 9 - list_unique(list_transform(range(1, len(w) - 8), lambda i: array_to_string(list_slice(w, i, i + 9), ' ')))) / (len(w) - 9) ELSE 0 END AS grams
+    FROM (
+        SELECT doc_id, type, c, list_transform(regexp_extract_all(c, '[\\p{{L}}\\p{{N}}_]+'), lambda x: lower(x)) AS w,
+            list_filter(list_transform(string_split(c, chr(10)), lambda x: trim(lower(regexp_replace(x, '[{_SPACE}]+', ' ', 'g')))), lambda x: length(x) >= 20) AS l
+        FROM (SELECT doc_id, {sql_type('type')} AS type, regexp_replace({_UNMARKED}, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') AS c FROM documents)
+    )"""
+_REASONS = f"""
+    SELECT doc_id, type, list_filter([
+        CASE WHEN chars < 200 THEN 'too_few_characters' END, CASE WHEN words < 30 THEN 'too_few_words' END, CASE WHEN alphabetic < 0.2 THEN 'low_alphabetic_ratio' END,
+        CASE WHEN replacement > 0.01 THEN 'high_replacement_character_ratio' END, CASE WHEN lines > 0.6 THEN 'high_repeated_line_ratio' END,
+        CASE WHEN grams > 0.5 THEN 'high_repeated_10gram_ratio' END], lambda x: x IS NOT NULL) AS reasons
+    FROM ({_METRICS})"""
+
+
+def _ruled(spark: SparkSession, d: str) -> DataFrame:
+    return rules.apply_rules(_documents(spark, d).select("doc_id", "type", "text"), _RULES)
+
+
+@query("rule_metrics", f"SELECT doc_id, chars AS characters, words, round(alphabetic, 6) AS alphabetic_ratio, round(replacement, 6) AS replacement_ratio, round(lines, 6) AS repeated_line_ratio, round(grams, 6) AS repeated_ngram_ratio FROM ({_METRICS})")
+def _(spark, d):
+    m = F.col("rules.metrics")
+    return _ruled(spark, d).select(
+        "doc_id", m.character_count.cast("long").alias("characters"), m.word_count.cast("long").alias("words"), F.round(m.alphabetic_ratio, 6).alias("alphabetic_ratio"),
+        F.round(m.replacement_character_ratio, 6).alias("replacement_ratio"), F.round(m.repeated_line_ratio, 6).alias("repeated_line_ratio"), F.round(m.repeated_ngram_ratio, 6).alias("repeated_ngram_ratio"),
     )
-    return stats.grouped_stats(docs, ["type", "jurisdiction"])
+
+
+@query("rule_reasons", f"SELECT doc_id, array_to_string(reasons, ',') AS reasons, len(reasons) = 0 AS accepted FROM ({_REASONS})")
+def _(spark, d):
+    return _ruled(spark, d).select("doc_id", F.array_join("rules.reasons", ",").alias("reasons"), "rules.accepted")
+
+
+@query("rejections_by_reason", f"SELECT type, reason, count(*) AS rejected_rows FROM (SELECT type, unnest(reasons) AS reason FROM ({_REASONS})) GROUP BY ALL")
+def _(spark, d):
+    return rules.rejections_by_reason(_ruled(spark, d), ["type"])
+
+
+@query("rejection_rates", f"SELECT type, count(*) AS rows, count(*) FILTER (len(reasons) > 0) AS rejected_rows, round(count(*) FILTER (len(reasons) > 0) / count(*), 9) AS rejection_rate, count(*) FILTER (len(reasons) > 0) / count(*) > 0.1 AS alarm FROM ({_REASONS}) GROUP BY ALL")
+def _(spark, d):
+    return rules.rejection_rates(_ruled(spark, d), ["type"]).drop("flagged_rows").withColumn("rejection_rate", F.round("rejection_rate", 9))
+
+
+@query("normalize_documents")
+def _(spark, d):
+    return normalize.normalize(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query("exact_dedup")
+def _(spark, d):
+    return dedup.first_copies(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"]).select("doc_id", "text_hash")
+
+
+@query("near_dedup")
+def _(spark, d):
+    return dedup.deduplicate(table(spark, d, "documents").select("doc_id", "text"), NearDuplicates()).drop("text")
+
+
+@query("near_dedup_audit")
+def _(spark, d):
+    return dedup.match_audit(dedup.deduplicate(table(spark, d, "documents").select("doc_id", "text"), NearDuplicates()))
+
+
+@query(
+    "components",
+    """WITH RECURSIVE e AS (
+        SELECT DISTINCT 'g:' || policy_group AS u, 'p:' || policy_uid AS v FROM sft_records WHERE policy_group IS NOT NULL AND policy_uid IS NOT NULL
+    ), b AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e), r(node, reach) AS (SELECT u, u FROM b UNION SELECT r.node, b.v FROM r JOIN b ON r.reach = b.u)
+    SELECT node, min(reach) AS component FROM r GROUP BY node""",
+)
+def _(spark, d):
+    edges = table(spark, d, "sft_records").select(F.concat(F.lit("g:"), "policy_group").alias("u"), F.concat(F.lit("p:"), "policy_uid").alias("v"))
+    return components.connected_components(edges)
+
+
+def _candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Each record of legal_raw at its first delivery, with its scan order."""
+    rows = table(spark, d, "legal_raw").select(
+        "source_file", "source_row", type_label("type", "text_type").alias("type"), jurisdiction_label("jurisdiction").alias("jurisdiction"), source_label("source").alias("source"), "text", "loaded_at"
+    )
+    first = F.min_by(F.struct("type", "jurisdiction", "source", "text"), F.struct("loaded_at", "text")).alias("f")
+    scan = F.struct(F.lit(0).alias("corpus_rank"), F.col("source_file").alias("major"), F.col("source_row").alias("minor"))
+    return rows.groupBy("source_file", "source_row").agg(first).select(F.lit("legal").alias("corpus"), "source_file", "source_row", "f.*", scan.alias("ordinal"))
+
+
+@query("accepted_records")
+def _(spark, d):
+    return accept.accepted(accept.without_exact_copies(accept.prepared(_candidates(spark, d))))
+
+
+@query("rejected_records")
+def _(spark, d):
+    return accept.rejected(accept.without_exact_copies(accept.prepared(_candidates(spark, d))))
+
+
+@query("accept_counters")
+def _(spark, d):
+    return accept.stage_counters(accept.without_exact_copies(accept.prepared(_candidates(spark, d))), ("corpus", "type"))
+
+
+@query("rejection_audit", "SELECT corpus, stage, reason, count(*) AS rejected_rows FROM (SELECT corpus, stage, unnest(reasons) AS reason FROM rejected) GROUP BY ALL")
+def _(spark, d):
+    return table(spark, d, "rejected").select("corpus", "stage", F.explode("reasons").alias("reason")).groupBy("corpus", "stage", "reason").agg(F.count(F.lit(1)).alias("rejected_rows"))
+
+
+class WordPenalty:
+    """A scorer that gives each word one tenth to the power of its length over three."""
+
+    def score(self, sentence: str, bos: bool = True, eos: bool = True) -> float:
+        """log10 probability of a sentence."""
+        return -sum(len(w) / 3 for w in sentence.split()) - eos
+
+
+@query("perplexity_filter")
+def _(spark, d):
+    return perplexity.with_perplexity(table(spark, d, "documents").select("doc_id", "text"), WordPenalty, "word-penalty").select("doc_id", "scored.*")
+
+
+_BEFORE = "coalesce(sum(tokens) OVER ({0} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+_PREFIX = _BEFORE.format("ORDER BY source_file, source_row")
+
+
+@query("budget_prefix", f"SELECT id, tokens FROM (SELECT id, tokens, {_PREFIX} AS b FROM {_FIRST}) WHERE b < 5000")
+def _(spark, d):
+    return sampling.budget_prefix(_accepted(spark, d), ["source_file", "source_row"], "tokens", 5000).select("id", "tokens")
+
+
+@query(
+    "largest_remainder",
+    """WITH w AS (SELECT type, jurisdiction, CAST(round(target_share * 1000) AS BIGINT) AS n FROM sampling_targets),
+    f AS (SELECT *, 4500001 * n / CAST((SELECT sum(n) FROM w) AS DOUBLE) AS x FROM w),
+    r AS (SELECT *, row_number() OVER (ORDER BY x - floor(x) DESC, type DESC, jurisdiction DESC) AS k, 4500001 - sum(floor(x)) OVER () AS spare FROM f)
+    SELECT type, jurisdiction, CAST(floor(x) AS BIGINT) + CAST(k <= spare AS BIGINT) AS quota FROM r""",
+)
+def _(spark, d):
+    rows = table(spark, d, "sampling_targets").collect()
+    quotas = sampling.largest_remainder(4_500_001, {(r.type, r.jurisdiction): round(r.target_share * 1000) for r in rows})
+    return spark.createDataFrame([(*k, q) for k, q in quotas.items()], "type string, jurisdiction string, quota long")
+
+
+_SEEDED = f"sha256('{SEED}' || chr(0) || id)"
+_QUOTAS = f"(SELECT t, j, CAST(sum(tokens) // 5 AS BIGINT) AS quota FROM {_FIRST} GROUP BY ALL)"
+_CHOSEN = f"(SELECT * FROM (SELECT a.*, q.quota, {_BEFORE.format(f'PARTITION BY a.t, a.j ORDER BY {_SEEDED}')} AS b FROM {_FIRST} a JOIN {_QUOTAS} q USING (t, j)) WHERE b < quota)"
+
+
+def _quotas(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("type", "jurisdiction").agg(F.floor(F.sum("tokens") / 5).alias("quota"))
+
+
+@query("quota_selection", f"SELECT id, t AS type, j AS jurisdiction, tokens, CAST(b AS BIGINT) AS tokens_before FROM {_CHOSEN}")
+def _(spark, d):
+    rows = _accepted(spark, d)
+    return sampling.select_by_quota(rows, _quotas(rows), ["type", "jurisdiction"], "tokens", SEED).select("id", "type", "jurisdiction", "tokens", "tokens_before")
+
+
+@query(
+    "quota_report",
+    f"""SELECT q.t AS type, q.j AS jurisdiction, q.quota, coalesce(n, 0) AS selected_documents, CAST(coalesce(s, 0) AS BIGINT) AS selected_tokens, CAST(coalesce(s, 0) - q.quota AS BIGINT) AS difference
+    FROM {_QUOTAS} q LEFT JOIN (SELECT t, j, count(*) AS n, sum(tokens) AS s FROM {_CHOSEN} GROUP BY ALL) c USING (t, j)""",
+)
+def _(spark, d):
+    rows = _accepted(spark, d)
+    chosen = sampling.select_by_quota(rows, _quotas(rows), ["type", "jurisdiction"], "tokens", SEED)
+    return sampling.quota_report(_quotas(rows), chosen, ["type", "jurisdiction"], "tokens")
+
+
+@query(
+    "nested_releases",
+    f"""SELECT id, CASE WHEN b < 2000 THEN 'small' WHEN b < 5000 THEN 'medium' ELSE 'large' END AS release
+    FROM (SELECT id, {_BEFORE.format(f'ORDER BY {_SEEDED}')} AS b FROM {_FIRST}) WHERE b < 10000""",
+)
+def _(spark, d):
+    return sampling.nested_releases(_accepted(spark, d), {"small": 2000, "medium": 5000, "large": 10_000}, "tokens", SEED).select("id", "release")
+
+
+_SHARDS = f"""WITH RECURSIVE o AS (SELECT id, tokens, row_number() OVER (ORDER BY {_SEEDED}, id) AS n FROM {_FIRST}),
+    f(n, id, tokens, shard, held) AS (
+        SELECT n, id, tokens, CAST(0 AS BIGINT), CAST(tokens AS BIGINT) FROM o WHERE n = 1
+        UNION ALL
+        SELECT o.n, o.id, o.tokens, CASE WHEN f.held > 0 AND f.held + o.tokens > 20000 THEN f.shard + 1 ELSE f.shard END,
+            CASE WHEN f.held > 0 AND f.held + o.tokens > 20000 THEN CAST(o.tokens AS BIGINT) ELSE f.held + o.tokens END
+        FROM f JOIN o ON o.n = f.n + 1)"""
+
+
+def _sharded(spark: SparkSession, d: str) -> DataFrame:
+    return shards.assign_shards(sampling.shuffled(_accepted(spark, d), SEED), ["priority", "id"], "tokens", 20_000)
+
+
+@query("shard_assignment", f"{_SHARDS} SELECT id, shard FROM f")
+def _(spark, d):
+    return _sharded(spark, d).select("id", "shard")
+
+
+@query("shard_stats", f"{_SHARDS} SELECT shard, count(*) AS documents, CAST(sum(tokens) AS BIGINT) AS tokens FROM f GROUP BY ALL")
+def _(spark, d):
+    return shards.shard_statistics(_sharded(spark, d), "tokens")
+
+
+@query("temperature_weights", f"SELECT l AS lang, n AS size, round(pow(n, 0.5) / sum(pow(n, 0.5)) OVER (), 9) AS weight FROM (SELECT {sql_language('lang')} AS l, count(*) AS n FROM documents GROUP BY ALL)")
+def _(spark, d):
+    rows = table(spark, d, "documents").select(language_label("lang").alias("lang"))
+    return sampling.temperature_weights(rows, ["lang"], 0.5).withColumn("weight", F.round("weight", 9))
+
+
+@query(
+    "capped_shares",
+    f"""SELECT type, jurisdiction, n AS size, round(n / sum(n) OVER (PARTITION BY type), 9) AS share, CAST(least(n, floor(sum(n) OVER (PARTITION BY type) * CAST(0.5 AS DOUBLE))) AS BIGINT) AS kept_size
+    FROM (SELECT t AS type, j AS jurisdiction, CAST(sum(length(text)) AS BIGINT) AS n FROM {_DOCS} GROUP BY ALL)""",
+)
+def _(spark, d):
+    rows = _documents(spark, d).select("type", "jurisdiction", F.length("text").cast("long").alias("n"))
+    return sampling.capped_shares(rows, "type", "jurisdiction", "n").withColumn("share", F.round("share", 9))
+
+
+@query("ngram_counts", r"""SELECT g AS ngram, count(*) AS occurrences FROM (
+    SELECT unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS g
+    FROM (SELECT list_concat(['<s>'], list_filter(regexp_split_to_array(lower(text), '[ \t\n\x0b\f\r]+'), lambda x: x <> ''), ['</s>']) AS w FROM documents)
+    WHERE len(w) >= 5) GROUP BY ALL HAVING count(*) >= 20""")
+def _(spark, d):
+    return perplexity.ngram_counts(table(spark, d, "documents"), 5, least=20)
+
+
+@query("hash_split", f"SELECT policy_group, CASE WHEN p < 9900 THEN 'train' WHEN p < 9950 THEN 'validation' ELSE 'test' END AS split FROM (SELECT DISTINCT policy_group, ('0x' || substr(sha256(policy_group || '{SEED}'), 1, 16))::UBIGINT % 10000 AS p FROM sft_records WHERE policy_group IS NOT NULL)")
+def _(spark, d):
+    groups = table(spark, d, "sft_records").filter("policy_group IS NOT NULL").select("policy_group").distinct()
+    return groups.select("policy_group", split_of(SEED, "policy_group", {"train": 9900, "validation": 50, "test": 50}).alias("split"))
+
+
+_SPLIT = "CASE WHEN lower(trim(split)) IN ('val', 'valid', 'dev') THEN 'validation' ELSE nullif(lower(trim(split)), '') END"
+
+
+@query("groups_apart", f"SELECT policy_group, count(DISTINCT {_SPLIT}) AS splits FROM sft_records WHERE policy_group IS NOT NULL GROUP BY ALL HAVING count(DISTINCT {_SPLIT}) > 1")
+def _(spark, d):
+    rows = table(spark, d, "sft_records").filter("policy_group IS NOT NULL").select("policy_group", split_label("split").alias("split"))
+    return sft.groups_apart(rows, "policy_group")
+
+
+@query(
+    "sft_pairs",
+    """SELECT direction, min(id) AS record_id, CAST(list_unique(flatten(list(provenance))) AS BIGINT) AS places FROM sft_records GROUP BY direction, messages""",
+)
+def _(spark, d):
+    rows = table(spark, d, "sft_records").select("direction", "messages", "provenance", F.col("id").alias("record_id"))
+    return sft.deduplicated_pairs(rows, ["record_id"]).select("direction", "record_id", F.size("provenance").cast("long").alias("places"))
+
+
+@query(
+    "generation_references",
+    f"""SELECT direction, split, min(id) AS id, sha256(p) AS prompt_hash, count(DISTINCT a) AS answers FROM (
+        SELECT direction, {_SPLIT} AS split, id, messages[1].content AS p, messages[2].content AS a FROM sft_records)
+    WHERE split IN ('validation', 'test') GROUP BY direction, split, p""",
+)
+def _(spark, d):
+    rows = table(spark, d, "sft_records").select("id", "direction", split_label("split").alias("split"), F.col("policy_group").alias("group_id"), "messages", F.col("id").alias("place"))
+    seen = sft.generation_view(rows, "place")
+    return seen.select("direction", "split", "id", F.sha2(sft.prompt_text(), 256).alias("prompt_hash"), F.size("references").cast("long").alias("answers"))
+
+
+@query("prompt_groups")
+def _(spark, d):
+    return sft.group_of_prompts(table(spark, d, "sft_records"))
+
+
+@query("group_splits")
+def _(spark, d):
+    return sft.assign_group_splits(sft.group_of_prompts(table(spark, d, "sft_records")), SEED, 0.1, 0.1)
+
+
+@query("conflicting_prompts")
+def _(spark, d):
+    return sft.conflicting_prompts(table(spark, d, "sft_records"))
+
+
+@query("valid_conversations", "SELECT count(*) AS rows, count(*) FILTER (len(messages) > 0 AND messages[-1].role = 'assistant' AND len(list_filter(messages, lambda m: m.role = 'user')) > 0 AND len(list_filter(messages, lambda m: trim(coalesce(m.content, '')) = '')) = 0) AS valid_rows FROM sft_records")
+def _(spark, d):
+    return table(spark, d, "sft_records").agg(F.count(F.lit(1)).alias("rows"), F.count_if(sft.valid_conversation("messages")).alias("valid_rows"))
+
+
+@query(
+    "evaluation_averages",
+    f"""WITH r AS (SELECT {sql_source('source')} AS task, {sql_type('type')} AS label, CASE WHEN length(text) > 1500 THEN 'caselaw' ELSE 'contracts' END AS predicted FROM documents),
+    c AS (SELECT task, label, count(*) AS n, sum((label = predicted)::INT) AS h FROM r GROUP BY ALL),
+    t AS (SELECT task, sum(n) AS n, sum(h) AS h, avg(h / n) AS balanced FROM c GROUP BY ALL)
+    SELECT round(sum(h) / sum(n), 9) AS micro_accuracy, round(avg(h / n), 9) AS macro_accuracy, round(avg(balanced), 9) AS macro_balanced_accuracy FROM t""",
+)
+def _(spark, d):
+    rows = _documents(spark, d).select("source", "type", F.when(F.length("text") > 1500, "caselaw").otherwise("contracts").alias("predicted"))
+    got = sft.evaluation_averages(rows, "source", "type", "predicted")
+    return got.select(*[F.round(c, 9).alias(c) for c in got.columns])
+
+
+@query("contamination")
+def _(spark, d):
+    return decontam.contamination(table(spark, d, "accepted").select("id", "text"), table(spark, d, "documents").select("doc_id", "text"), eval_key="doc_id")
