@@ -41,7 +41,7 @@ _MARK = (
 # Abbreviations whose full stop ends no sentence.
 _ABBREVIATED = r"(?:^|[\s(])(?:No|Nos|Art|Arts|Nr|Abs|v|vs|cf|para|paras|Sec|sec|Ch|ch|p|pp|Vol|vol|Dr|Mr|Mrs|Ms|Prof|St|al|Ltd|Inc|Co|αρ|αρθ|παρ|чл|ал)\.\z"
 # A stop, with closing quotes or brackets, and notes in brackets after it.
-_STOPPED = r"[.!?\x{037E}][\"'\x{201D}\x{2019}\x{00BB})\]]*(?:\s*[\[(][^\])\n]{1,40}[\])])*\s*\z"
+_STOPPED = r"[.!?\x{037E}][\"'\x{201D}\x{2019}\x{00BB})\]]*(?:\s*[\[(][^\])\n]{1,40}[\])][\"'\x{201D}\x{2019}\x{00BB}]*)*\s*\z"
 
 
 def _without_end(text: Column, characters: Column) -> Column:
