@@ -15,7 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,16 +47,6 @@ def hashed_stream(df: DataFrame, text: str = "text", name: str = "text_hash") ->
     return df.mapInArrow(add, T.StructType([*df.schema.fields, T.StructField(name, T.StringType())]))
 
 
-def exact_duplicates(df: DataFrame, order: Sequence[Column], text: str = "text") -> DataFrame:
-    """The table with ``text_hash`` and ``copy_number``: 1 for the first row of equal canonical texts in ``order``.
-
-    Null texts equal the empty text. A group of copies is ranked by its order columns only; ties
-    are broken arbitrarily among rows equal in all of them.
-    """
-    key = text_hash(df.sparkSession, F.coalesce(F.col(text), F.lit("")))
-    return df.withColumn("text_hash", key).withColumn("copy_number", F.row_number().over(Window.partitionBy("text_hash").orderBy(*order)))
-
-
 def first_copies(df: DataFrame, order: Sequence[str], text: str = "text") -> DataFrame:
     """Rows that are the first of their exact copies, found by a pre-aggregated minimum so that no group meets in one task."""
     hashed = df.withColumn("text_hash", text_hash(df.sparkSession, F.coalesce(F.col(text), F.lit(""))))
@@ -209,6 +199,7 @@ def match_audit(labelled: DataFrame, config: NearDuplicates | None = None, ordin
     return removed.join(heads, "representative").select(F.col("o").alias("duplicate"), "representative", "kind", similarity.alias("similarity"), F.col("dedup_cluster_id").alias("cluster_id"))
 
 
-def preferred_copies(df: DataFrame, cluster: str, quality: Sequence[Column]) -> DataFrame:
-    """The best row of each cluster by the order ``quality`` instead of the earliest."""
-    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(cluster).orderBy(*quality))).filter("__rank = 1").drop("__rank")
+def preferred_copies(df: DataFrame, cluster: str, quality: Sequence[str], key: str) -> DataFrame:
+    """The row of each cluster that is least in the columns ``quality``, then in ``key``, instead of the earliest."""
+    best = df.groupBy(cluster).agg(F.min(F.struct(*quality, key)).alias("b")).select(F.col(f"b.{key}").alias(key))
+    return df.join(best, key, "left_semi")

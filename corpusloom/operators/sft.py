@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.hashing import sha
@@ -181,9 +181,9 @@ def conflicting_prompts(df: DataFrame) -> DataFrame:
 def by_precedence(df: DataFrame, precedence: Sequence[str], source: str = "source", order: str = "id") -> DataFrame:
     """Of rows with equal messages the one from the source that comes first in ``precedence``."""
     rank = F.array_position(F.array(*map(F.lit, precedence)), F.col(source))
-    place = F.when(rank > 0, rank).otherwise(len(precedence) + 1)
-    window = Window.partitionBy(pair_id()).orderBy(place, order)
-    return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
+    ranked = df.withColumns({"__pair": pair_id(), "__place": F.when(rank > 0, rank).otherwise(len(precedence) + 1)})
+    best = ranked.groupBy("__pair").agg(F.min(F.struct("__place", order)).alias("b")).select("__pair", "b.*")
+    return ranked.join(best, ["__pair", "__place", order], "left_semi").drop("__pair", "__place")
 
 
 def canonical_chat(turns: Column | str) -> Column:

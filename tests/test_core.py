@@ -216,6 +216,24 @@ def test_splits_do_not_depend_on_order(spark):
         sft.check_leakage(spark.createDataFrame([("g", "train"), ("g", "test")], "group_id string, split string"))
 
 
+def test_preferred_copies_and_precedence(spark):
+    df = spark.createDataFrame([(1, "c", 5), (2, "c", 3), (3, "c", 3), (4, "d", 9)], "id long, cluster string, badness long")
+    assert {r.id for r in dedup.preferred_copies(df, "cluster", ["badness"], "id").collect()} == {2, 4}
+    pairs = spark.createDataFrame([(i, s, [("user", "q"), ("assistant", "a" if i < 3 else "b")]) for i, s in enumerate(["web", "gold", "gold", "other"])], "id long, source string, messages array<struct<role: string, content: string>>")
+    assert {r.id for r in sft.by_precedence(pairs, ["gold", "web"]).collect()} == {1, 3}
+
+
+def test_chat_forms(spark):
+    schema = "turns array<struct<role: string, content: string>>"
+    rows = [([("Human", "q"), ("gpt", "a")],), ([("user", "q")],), ([("assistant", "a"), ("user", "q")],), ([("user", " "), ("assistant", "a")],), ([],), (None,)]
+    got = spark.createDataFrame(rows, schema).select(sft.valid_conversation(sft.canonical_chat("turns")).alias("ok")).collect()
+    assert [r.ok for r in got] == [True, False, False, False, False, False]
+    quiz = spark.createDataFrame([("Q?", ["x", "y"])], "q string, c array<string>").select(sft.multiple_choice_prompt("q", "c")).first()[0]
+    assert quiz == "Q?\nA. x\nB. y\nAnswer:"
+    tasks = spark.createDataFrame([("cuad_a",), ("hearsay",), (None,)], "task_name string")
+    assert {r.task_name for r in sft.without_tasks(tasks, ["cuad_*"]).collect()} == {"hearsay", None}
+
+
 def test_contamination(spark):
     evaluation = spark.createDataFrame([("e1", AGREEMENT), ("e2", "Short one, here!"), ("e3", "")], "id string, text string")
     train = spark.createDataFrame([("t1", AGREEMENT.upper()), ("t2", "short one here"), ("t3", AGREEMENT + " And one more."), ("t4", "clean"), ("t5", None)], "id string, text string")
