@@ -46,8 +46,12 @@ def repeated_line_ratio(text: Column) -> Column:
 def repeated_ngram_ratio(words: Column, n: int) -> Column:
     """Repeats among the n-grams of words in lower case; hashes of 64 bits stand for the n-grams."""
     count = F.size(words) - n + 1
-    grams = F.transform(F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.array_join(F.slice(words, i, F.lit(n)), " ")))
-    return F.when(count > 0, (count - F.size(F.array_distinct(grams))) / count).otherwise(F.lit(0.0))
+
+    def share(hashed: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), count), lambda i: F.xxhash64(F.slice(hashed, i, F.lit(n))))
+        return F.when(count > 0, (count - F.size(F.array_distinct(grams))) / count).otherwise(F.lit(0.0))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), share)
 
 
 def apply_rules(df: DataFrame, config: Rules | None = None, text: str = "text", name: str = "rules") -> DataFrame:
