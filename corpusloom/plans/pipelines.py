@@ -72,11 +72,11 @@ def accept_all(legal: DataFrame, replay: DataFrame | None, normalization: Normal
 
 def survivors(rows: DataFrame, near: NearDuplicates | None) -> DataFrame:
     """Accepted records without near duplicates, with their cluster id where one ties them to removed rows."""
-    kept = accept.accepted(rows).withColumn("__order", F.struct("corpus", "source_file", "source_row"))
+    kept = accept.accepted(rows)
     if near is None:
-        return kept.drop("__order").withColumn("dedup_cluster_id", F.lit(None).cast("string"))
+        return kept.withColumn("dedup_cluster_id", F.lit(None).cast("string"))
     order = rows.filter("stage IS NULL").select("id", "ordinal")
-    numbered = kept.drop("__order").join(order, "id")
+    numbered = kept.join(order, "id")
     labelled = dedup.deduplicate(numbered, near, ordinal="ordinal")
     return labelled.filter("kind = 'kept'").drop("ordinal", "representative", "kind")
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.session import cut_lineage, ship_package
+from corpusloom.session import ship_package
 
 LEGAL = T.StructType([T.StructField(n, T.StringType()) for n in ("language", "type", "text_type", "jurisdiction", "source", "text")])
 REPLAY = T.StructType([T.StructField("text", T.StringType()), T.StructField("meta", T.StructType([T.StructField("redpajama_set_name", T.StringType())]))])
@@ -103,7 +103,3 @@ def line_inventory(parsed: DataFrame) -> DataFrame:
     """Valid and invalid rows of each file."""
     return parsed.groupBy("source_file").agg(F.count_if(F.col("error").isNull()).alias("valid_rows"), F.count_if(F.col("error").isNotNull()).alias("invalid_rows"))
 
-
-def materialized(df: DataFrame) -> DataFrame:
-    """The table with its lineage cut, so that scans are not repeated."""
-    return cut_lineage(df)
