@@ -2,7 +2,8 @@
 
 Near duplicates: word shingles, MinHash signatures in Arrow batches, bands as join keys, exact
 Jaccard of the candidates, connected components. Exact copies are reduced to their first row
-before, and large buckets are compared with their least text instead of pair by pair.
+before. Large buckets are first tied to their least texts; what may still be alike in them is
+found by the prefixes of the shingle sets, so that no link is lost.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ PRIME = (1 << 61) - 1
 _EMPTY = (1 << 64) - 1
 #: Texts of a bucket up to which all its pairs are compared.
 PAIRED = 64
+#: Rounds in which larger buckets are tied to their least texts before their prefixes are joined.
+STAR_ROUNDS = 3
+#: Counters that tell frequent shingles from rare ones.
+SLOTS = 1 << 18
 
 
 def text_hash(spark: SparkSession, c: Column | str) -> Column:
@@ -139,13 +144,54 @@ def _star_round(open_rows: DataFrame, sketched: DataFrame, threshold: float) ->
     return scored.filter(F.col("similarity") >= threshold), asked.join(missed, ["ordinal", "least"], "left_semi").drop("least")
 
 
+def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
+    """``token``, ``place`` for the first shingles of each text, rare ones first.
+
+    Two sets of Jaccard similarity ``threshold`` share one of the first n - ceil(threshold x n) + 1
+    shingles of each, in any order that is common to all texts.
+    """
+    slot = F.pmod("shingle", F.lit(SLOTS)).cast("int")
+    found = texts.select(F.explode("shingles").alias("shingle")).groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+
+    def prefix(sets: pa.Array) -> pa.Array:
+        out = []
+        for x in sets:
+            h = x.values.to_numpy(zero_copy_only=False)
+            out.append(h[np.lexsort((h, counts[h % SLOTS]))][: len(h) - int(np.ceil(threshold * len(h) - 1e-9)) + 1])
+        return pa.array(out, pa.list_(pa.int64()))
+
+    first = arrow_function(texts.sparkSession, prefix, "array<long>")("shingles")
+    return texts.select("ordinal", "label", F.size("shingles").alias("size"), first.alias("first")).select("ordinal", "label", "size", F.posexplode("first").alias("place", "token"))
+
+
+def _prefix_edges(large: DataFrame, tied: DataFrame, sketched: DataFrame, threshold: float) -> DataFrame:
+    """Edges between all alike texts of large buckets but those tied to the same text already."""
+    label = tied.groupBy("ordinal").agg(F.min("least").alias("label"))
+    texts = sketched.join(large.select("ordinal").distinct(), "ordinal", "left_semi").join(label, "ordinal", "left")
+    first = cut_lineage(_prefixes(texts.select("ordinal", F.coalesce("label", "ordinal").alias("label"), "shingles"), threshold))
+    mixed = first.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
+    first = first.join(mixed, "token", "left_semi")
+    other = first.select("token", *[F.col(c).alias(f"other_{c}") for c in ("ordinal", "label", "size", "place")])
+    # At the first shingle that two sets share, what follows in each bounds what they share.
+    bound = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
+    near = bound >= (F.col("size") + F.col("other_size")) * (threshold / (1 + threshold)) - 1e-6
+    pairs = first.join(other, "token").filter((F.col("other_ordinal") < F.col("ordinal")) & (F.col("other_label") != F.col("label")) & near)
+    keys = sketched.select("ordinal", F.col("bands").alias("x"))
+    other_keys = sketched.select(F.col("ordinal").alias("least"), F.col("bands").alias("y"))
+    found = pairs.select("ordinal", F.col("other_ordinal").alias("least")).distinct().join(keys, "ordinal").join(other_keys, "least")
+    met = found.filter(F.exists(F.zip_with("x", "y", lambda a, b: a == b), lambda same: same)).select("ordinal", "least")
+    return _scored(met, sketched).filter(F.col("similarity") >= threshold)
+
+
 def near_duplicate_edges(df: DataFrame, config: NearDuplicates, ordinal: str, text: str = "text") -> DataFrame:
-    """``ordinal``, ``least`` and ``similarity``: links between alike texts that share a bucket.
+    """``ordinal``, ``least`` and ``similarity``: links that tie all alike texts that share a bucket.
 
-    Buckets of up to ``PAIRED`` texts are compared pair by pair. In a larger one every text is
-    compared with the least, those alike to it are tied to it, the others form a smaller bucket,
-    and so on; a link between a tied text and an untied one is then left to the other bands'
-    buckets. With ``verify`` off the members of a bucket are tied unseen.
+    Buckets of up to ``PAIRED`` texts are compared pair by pair. In a larger one texts are tied to
+    the least, the untied ones to the least of them, and so on for ``STAR_ROUNDS``; then all its
+    pairs that are not tied to the same text are looked for by the prefixes of their shingle sets.
+    With ``verify`` off the members of a bucket are tied unseen.
     """
     sketched = df.select(F.col(ordinal).alias("ordinal"), sketches(df.sparkSession, text, config).alias("s")).select("ordinal", "s.*")
     sketched = cut_lineage(sketched)
@@ -158,11 +204,14 @@ def near_duplicate_edges(df: DataFrame, config: NearDuplicates, ordinal: str, te
     small = shared.filter(F.col("n") <= PAIRED).drop("n")
     pairs = small.join(small.select("band", "key", F.col("ordinal").alias("least")), ["band", "key"]).filter("least < ordinal").select("ordinal", "least")
     edges = _scored(pairs, sketched).filter(F.col("similarity") >= config.similarity_threshold)
-    open_rows = shared.filter(F.col("n") > PAIRED).drop("n")
-    while not open_rows.isEmpty():
-        alike, rest = _star_round(open_rows, sketched, config.similarity_threshold)
-        edges, open_rows = edges.unionByName(alike), cut_lineage(rest)
-    return edges.distinct()
+    large = shared.filter(F.col("n") > PAIRED).drop("n")
+    if large.isEmpty():
+        return edges.distinct()
+    tied, open_rows = _star_round(large, sketched, config.similarity_threshold)
+    for _ in range(STAR_ROUNDS - 1):
+        alike, rest = _star_round(cut_lineage(open_rows), sketched, config.similarity_threshold)
+        tied, open_rows = tied.unionByName(alike), rest
+    return edges.unionByName(tied).unionByName(_prefix_edges(large, tied, sketched, config.similarity_threshold)).distinct()
 
 
 def deduplicate(df: DataFrame, config: NearDuplicates | None = None, ordinal: str = "doc_id", text: str = "text") -> DataFrame:

@@ -139,6 +139,25 @@ def test_deduplication_equals_all_pairs(spark):
     assert dedup.deduplicate(df.limit(0), config).collect() == []
 
 
+def test_large_buckets_lose_no_link(spark):
+    rng = random.Random(5)
+    core, ring = [f"c{i}" for i in range(60)], [f"w{i}" for i in range(240)] * 2
+    rows = [" ".join(core + ring[12 * (i % 20) : 12 * (i % 20) + 140] + [f"t{i}"]) for i in range(80)]
+    rows += [" ".join(core + rng.choices(ring, k=140)) for _ in range(10)]
+    keep = NearDuplicates(num_permutations=1, bands=1)
+    sets = [dedup.shingles(t, keep) for t in rows]
+    seeded = (NearDuplicates(num_permutations=1, bands=1, seed=s) for s in range(1000))
+    config = next(c for c in seeded if len({int(dedup.signature(dedup.base_hashes(s), c)[0]) for s in sets}) == 1)
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    got = {r.doc_id: r.representative for r in dedup.deduplicate(texts(spark, rows), config).collect()}
+    assert len(rows) > dedup.PAIRED and [got[i] for i in range(len(rows))] == root
+
+
 def test_allocation():
     weights = {("a", "x"): 5, ("b", "y"): 3, ("c", "z"): 1}
     assert sampling.largest_remainder(10, weights) == {("a", "x"): 6, ("b", "y"): 3, ("c", "z"): 1}
