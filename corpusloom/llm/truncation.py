@@ -2,9 +2,9 @@
 
 Words and stops of all texts are reduced to shapes and counted as trigrams, inside texts and at
 their ends. A text's last trigram speaks for a cut when it is frequent inside texts but almost
-never ends one; an unseen last trigram, as after a cut inside a word, is judged by the trigram
-before it. What remains is held against the text's end itself: running text that no stop and
-no closing line ends.
+never ends one; a rare last trigram, as after a cut inside a word, is judged by the trigram
+before it. Where both are rare there is no trigram evidence and the end itself decides. What
+remains is held against that end: running text that no stop and no closing line ends.
 """
 
 from __future__ import annotations
@@ -20,12 +20,15 @@ from corpusloom.session import cut_lineage
 END_SHARE = 0.05
 #: Occurrences inside texts from which a last trigram counts as seen.
 SEEN = 3
-#: A short last block whose shape ends at least this share of all texts (and CLOSING_TEXTS of them) is a closing line.
-CLOSING_SHARE, CLOSING_TEXTS = 0.0003, 3
+#: A short last block whose shape or wording ends at least this share of all distinct texts (and CLOSING_TEXTS of them), and more than
+#: END_SHARE of the blocks that begin with it, is a closing line, unless more than MARKED_SHARE of those texts bear a mark.
+CLOSING_SHARE, CLOSING_TEXTS, MARKED_SHARE = 0.0003, 3, 0.1
 #: Tokens of a last block up to which it may be a closing line.
 CLOSING_TOKENS = 10
 #: Share of function words from which a last block is running text.
 RUNNING = 0.12
+#: Characters of the begin of a block that hold the tokens of a closing line and one more.
+BLOCK_HEAD = 160
 #: Characters of the end of a text in which a loader's mark is looked for.
 TAIL = 400
 #: Characters of the end of the last block that tell whether it is running text.
@@ -40,6 +43,8 @@ _MARK = (
 )
 # Abbreviations whose full stop ends no sentence.
 _ABBREVIATED = r"(?:^|[\s(])(?:No|Nos|Art|Arts|Nr|Abs|v|vs|cf|para|paras|Sec|sec|Ch|ch|p|pp|Vol|vol|Dr|Mr|Mrs|Ms|Prof|St|al|Ltd|Inc|Co|αρ|αρθ|παρ|чл|ал)\.\z"
+# Last lines that close a text wherever they stand.
+_CLOSED = r"(?i)^[^\p{L}\p{N}]*(?:the end|end|end of (?:the )?(?:text|document|file))[^\p{L}\p{N}]*\z"
 # A stop, with closing quotes or brackets, and notes in brackets after it.
 _STOPPED = r"[.!?\x{037E}][\"'\x{201D}\x{2019}\x{00BB})\]]*(?:\s*[\[(][^\])\n]{1,40}[\])][\"'\x{201D}\x{2019}\x{00BB}]*)*\s*\z"
 
@@ -55,10 +60,11 @@ def plain_end(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.translate(text, wide, narrow), r"\p{Cf}+", ""), r"[\p{Zs}\t]+", " ")
 
 
-def shapes(text: Column) -> Column:
-    """Words and stops in order; numbers and capitalised words by a sign each, other words as they stand."""
+def shapes(text: Column, capitals: bool = False) -> Column:
+    """Words and stops in order; numbers and (without ``capitals``) capitalised words by a sign each, other words as they stand."""
     s = F.regexp_replace(text, r"[0-9]+(?:[.,][0-9]+)*", "\u0001")
-    s = F.regexp_replace(s, r"\p{Lu}[\p{L}\p{M}]*", "\u0002")
+    if not capitals:
+        s = F.regexp_replace(s, r"\p{Lu}[\p{L}\p{M}]*", "\u0002")
     return F.regexp_extract_all(s, F.lit(r"[\p{L}\p{M}]+|[^\s\p{L}\p{M}]"), F.lit(0))
 
 
@@ -71,6 +77,20 @@ def trigram_counts(texts: Column, df: DataFrame) -> DataFrame:
     return each.select(F.xxhash64("g.a", "g.b", "g.c").alias("trigram")).groupBy("trigram").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
+def begun_blocks(df: DataFrame, text: str, shapes_asked: DataFrame) -> DataFrame:
+    """For each ``shape`` of ``shapes_asked`` the blocks of all texts that begin with it and go on."""
+    block = df.select(F.explode(F.split(F.col(text), "\n\n")).alias("b")).select(F.left("b", F.lit(BLOCK_HEAD)).alias("b")).filter("b <> ''")
+    both = F.array(*[F.slice(shapes(plain_end(F.col("b")), capitals), 1, CLOSING_TOKENS + 1) for capitals in (False, True)])
+    heads = block.select(F.explode(F.array_distinct(both)).alias("t"))
+    starts = F.filter(F.sequence(F.lit(1), F.lit(CLOSING_TOKENS)), lambda k: k <= F.size("t"))
+    begin = lambda k: F.xxhash64(k, F.array_join(F.slice("t", F.lit(1), k - 1), " "))
+    begun = heads.select("t", F.explode(starts).alias("k")).select(begin(F.col("k")).alias("h"), F.element_at("t", F.col("k")).alias("token"), (F.size("t") > F.col("k")).alias("more"))
+    asked = shapes_asked.select("shape", F.split("shape", " ").alias("t")).select("shape", begin(F.size("t")).alias("h"), F.element_at("t", -1).alias("end"))
+    # A longer last word goes on too: what ends in a broken word is the begin of the whole one.
+    goes_on = F.col("token").startswith(F.col("end")) & (F.col("more") | (F.col("token") != F.col("end")))
+    return begun.join(F.broadcast(asked), "h").filter(goes_on).groupBy("shape").agg(F.count(F.lit(1)).alias("begun"))
+
+
 def endings(df: DataFrame, key: str, text: str) -> DataFrame:
     """Each text without a loader's line and mark (``bare``), its last block, and what its end looks like."""
     trimmed = F.rtrim(F.col(text), F.lit(_WHITE))
@@ -100,41 +120,58 @@ def _function_words() -> list[str]:
 def cut_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows with ``key``, ``source``, their trigram evidence and ``cut``.
 
-    A null text, like an empty or blank one, is not cut. Repeated rows stay and count as texts of their own.
+    A null text, like an empty or blank one, is not cut. Repeated rows stay, but texts that end alike are counted by
+    distinct texts, the one that is judged left out; ends with a loader's mark or an abbreviation are none. ``evidence`` names the trigram that ``end_share`` is of: last, before,
+    or none where both occur fewer than SEEN times inside texts; then the share is null and the end of the text decides.
     """
     ended = endings(df, key, text)
     whole = F.substring_index("bare", "\n\n", -1)
     before = F.rtrim(F.left("bare", F.greatest(F.length("bare") - F.length(whole) - 2, F.lit(0))))
     cut_out = ended.select(
-        "key", "source", "marked", "stopped", (F.length("bare") > 0).alias("any"), (F.length(whole) <= TAIL).alias("short"),
+        "key", "source", "marked", "stopped", F.xxhash64("bare").alias("content"), (F.length("bare") > 0).alias("any"), (F.length(whole) <= TAIL).alias("short"),
         plain_end(F.right("bare", F.lit(TAIL))).alias("end"), plain_end(F.right(whole, F.lit(BLOCK_TAIL))).alias("block"),
         F.right(F.substring_index(before, "\n\n", -1), F.lit(TAIL)).alias("previous"),
     )
     tokens = shapes(F.when(F.col("end").rlike(_ABBREVIATED), F.left("end", F.length("end") - 1)).otherwise(F.col("end")))
     described = cut_out.select(
-        "key", "source", "marked", "stopped", "any", tokens.alias("t"),
-        F.when(F.col("short"), shapes(F.col("block"))).alias("block_shape"),
+        "key", "source", "marked", "stopped", "content", "any", tokens.alias("t"),
+        *[F.when(F.col("short"), shapes(F.col("block"), capitals)).alias(name) for capitals, name in ((False, "block_shape"), (True, "block_words"))],
+        (F.col("short") & F.col("block").rlike(_CLOSED)).alias("closed"),
+        (F.col("marked") | F.col("end").rlike(_ABBREVIATED)).alias("open"),
         _running(F.col("block"), F.col("previous")).alias("running"),
     )
     n = F.size("t")
     gram = lambda back: F.when(n >= 3 + back, F.xxhash64(*[F.try_element_at("t", F.lit(i - back)) for i in (-3, -2, -1)]))
-    named_shape = F.when(F.size("block_shape") <= CLOSING_TOKENS, F.array_join("block_shape", " "))
-    slim = cut_lineage(described.select("key", "source", "marked", "stopped", "any", "running", gram(0).alias("last"), gram(1).alias("before"), named_shape.alias("shape")))
-    least = max(CLOSING_TEXTS, CLOSING_SHARE * slim.count())
-    closing = slim.filter("shape IS NOT NULL").groupBy("shape").agg(F.count(F.lit(1)).alias("alike")).filter(F.col("alike") >= least).select("shape", F.lit(True).alias("closing"))
-    ends = slim.filter("last IS NOT NULL").groupBy(F.col("last").alias("trigram")).agg(F.count(F.lit(1)).alias("last_of"), F.count_if("stopped").alias("ends"))
+    named_shape = lambda c: F.when(F.size(c) <= CLOSING_TOKENS, F.array_join(c, " "))
+    slim = cut_lineage(described.select("key", "source", "marked", "stopped", "content", "any", "running", gram(0).alias("last"), gram(1).alias("before"), "open", "closed", named_shape("block_shape").alias("shape"), named_shape("block_words").alias("wording")))
+    least = max(CLOSING_TEXTS, CLOSING_SHARE * slim.select("content").distinct().count())
+    lines = slim.select("content", "marked", F.explode(F.array_distinct(F.array("shape", "wording"))).alias("shape")).filter("shape IS NOT NULL").groupBy("shape", "content").agg(F.max("marked").alias("marked"))
+    lines = lines.groupBy("shape").agg(F.count(F.lit(1)).alias("alike"), F.count_if("marked").alias("marks"))
+    lines = cut_lineage(lines.filter((F.col("alike") >= least) & (F.col("marks") <= MARKED_SHARE * F.col("alike"))))
+    begun = lines.join(begun_blocks(df, text, lines), "shape", "left").fillna(0, ["begun"])
+    closing = begun.filter(F.col("alike") > END_SHARE * (F.col("alike") + F.col("begun"))).select("shape")
+    closing = cut_lineage(closing)
+    final = slim.filter("last IS NOT NULL").groupBy(F.col("last").alias("trigram"), "content").agg(F.count(F.lit(1)).alias("copies"), F.max((~F.col("open")).cast("int")).alias("ended"))
+    ends = final.groupBy("trigram").agg(F.sum("copies").alias("last_of"), F.sum("ended").alias("ends"))
     asked = slim.select(F.explode(F.array("last", "before")).alias("trigram")).filter("trigram IS NOT NULL").distinct()
     known = asked.join(trigram_counts(F.col(text), df), "trigram", "left").join(ends, "trigram", "left").fillna(0)
     counts = cut_lineage(known.select("trigram", (F.col("occurrences") - F.col("last_of")).alias("inside"), "ends"))
     named = lambda a: counts.select(F.col("trigram").alias(a), F.col("inside").alias(f"{a}_inside"), F.col("ends").alias(f"{a}_ends"))
-    joined = slim.join(F.broadcast(closing), "shape", "left").join(named("last"), "last", "left").join(named("before"), "before", "left")
-    filled = joined.fillna(0, ["last_inside", "last_ends", "before_inside", "before_ends"]).fillna(False, ["closing", "stopped", "marked", "any", "running"])
-    own = F.greatest(F.col("last_ends") - F.when(F.col("stopped"), 1).otherwise(0), F.lit(0))  # without this text's own end
-    seen = F.col("last_inside") + own >= SEEN
-    share = F.when(seen, own / (F.col("last_inside") + own)).otherwise(F.try_divide(F.col("before_ends"), F.col("before_inside") + F.col("before_ends")))
-    share = F.coalesce(share, F.lit(0.0))
-    cut = F.col("any") & F.col("running") & ~F.col("closing") & (F.col("marked") | ~F.col("stopped")) & (share <= END_SHARE)
-    return filled.select(F.col("key").alias(key), "source", "marked", "stopped", "running", "closing", share.alias("end_share"), cut.alias("cut"))
+    by_shape, by_wording = closing.withColumn("closing_shape", F.lit(True)), closing.select(F.col("shape").alias("wording"), F.lit(True).alias("closing_words"))
+    lined = slim.join(F.broadcast(by_shape), "shape", "left").join(F.broadcast(by_wording), "wording", "left")
+    lined = lined.withColumn("closing", F.coalesce("closing_shape", "closing_words", "closed", F.lit(False)))
+    joined = lined.join(named("last"), "last", "left").join(named("before"), "before", "left")
+    filled = joined.fillna(0, ["last_inside", "last_ends", "before_inside", "before_ends"]).fillna(False, ["stopped", "marked", "any", "running"])
+    # Ends alone make no unstopped trigram seen: broken words end several texts and stand inside none.
+    own = F.greatest(F.col("last_ends") - F.when(F.col("open"), 0).otherwise(1), F.lit(0))  # without this text's own end
+    evidence = F.when(F.col("last_inside") + F.when(F.col("stopped"), own).otherwise(0) >= SEEN, "last").when(F.col("before_inside") >= SEEN, "before").otherwise("none")
+    others = F.when(F.col("stopped") | (own >= SEEN), own).otherwise(0)  # a few other cuts at the same place are no ends
+    of_last, of_before = others / (F.col("last_inside") + others), F.try_divide(F.col("before_ends"), F.col("before_inside") + F.col("before_ends"))
+    filled = filled.withColumn("evidence", evidence)
+    share = F.when(F.col("evidence") == "last", of_last).when(F.col("evidence") == "before", of_before)
+    inside_text = share.isNull() | (share <= END_SHARE)
+    cut = F.col("any") & F.col("running") & (F.col("marked") | ~F.col("stopped") & ~F.col("closing")) & inside_text
+    return filled.select(F.col("key").alias(key), "source", "marked", "stopped", "running", "closing", "evidence", share.alias("end_share"), cut.alias("cut"))
 
 
 def cut_rates(cut: DataFrame) -> DataFrame:

@@ -160,6 +160,27 @@ def test_cut_texts(spark):
     assert truncation.cut_texts(df.limit(0)).collect() == []
 
 
+def test_closing_lines_are_distinct_rare_inside_and_never_beat_a_mark(spark):
+    clause = "\n\n7. The Supplier shall keep the records of the contract as the parties agreed."
+    whole = [(i, PROSE + clause * 3 + f" Held at Town{chr(65 + i % 26)}{chr(97 + i // 26)}.", "s") for i in range(60)]
+    begun = [(100 + i, PROSE + f"The court of Place{chr(97 + i)} was right.\n\n7. The Suppl", "t") for i in range(3)]
+    copies = [(200 + i, PROSE + "\n\nIt was for the claim", "t") for i in range(4)]
+    marked = [(300, PROSE + "\n\nTHE END…", "t")]
+    closed = [(400 + i, PROSE + f"It was Case{chr(97 + i)}.\n\nTHE END", "s") for i in range(5)]
+    got = truncation.cut_texts(docs(spark, whole + begun + copies + marked + closed))
+    assert sorted(r.doc_id for r in got.filter("cut").collect()) == [100, 101, 102, 200, 201, 202, 203, 300]
+
+
+def test_trigrams_decide_unstopped_ends(spark):
+    ended = [(i, PROSE + f"It was Case{chr(97 + i)}.\n\n" + "The record of the matter was kept and the parties agreed to what the court had said at length", "s") for i in range(6)]
+    inside = [(50 + i, PROSE + f"The record of the matter was kept and the claimant of Town{chr(97 + i)} was heard, as the court had said at length before.", "s") for i in range(6)]
+    cut = [(100, PROSE + "The record of the matter was kept and the claimant", "t")]
+    got = {r.doc_id: r for r in truncation.cut_texts(docs(spark, ended + inside + cut)).collect()}
+    assert [i for i, r in sorted(got.items()) if r.cut] == [100]
+    assert got[0].evidence == "last" and got[0].end_share > truncation.END_SHARE and not got[0].stopped and not got[0].closing
+    assert got[100].evidence == "last" and got[100].end_share == 0
+
+
 def test_names():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"p{i}" for i in range(1, 10)}
     assert {f"p{i}_found" for i in range(1, 10)} <= set(queries.QUERIES)
