@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters for which Python's str.isspace() is true, as a regex class body. Those of
@@ -38,10 +38,11 @@ def text_bytes(c: Column | str) -> Column:
     return F.coalesce(F.octet_length(_col(c)), F.lit(0)).cast("long")
 
 
-def once(c: Column) -> Column:
-    """The same value, which the optimizer takes for one that may differ each time and so never computes twice.
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """The table with ``value`` in column ``name``, replaced in place or put last, computed once for each row.
 
-    For costly expressions that later steps name several times or filter by: inlined into each
-    of them they would be evaluated again and again.
+    Later steps that name a costly value several times, or filter by it, would have it inlined
+    into each of them; a generator of one row is a step that nothing is moved through.
     """
-    return F.when(F.rand() >= 0, c)
+    made = F.explode(F.array(value)).alias(name)
+    return df.select(*[made if c == name else F.col(f"`{c}`") for c in df.columns], *([] if name in df.columns else [made]))

@@ -2,15 +2,17 @@
 
 Near duplicates: word shingles, MinHash signatures in Arrow batches, bands as join keys, exact
 Jaccard of the candidates, connected components. Exact copies are reduced to their first row
-before. Large buckets are first tied to their least texts; what may still be alike in them is
-found by the prefixes of the shingle sets, so that no link is lost.
+before. A bucket's texts are first compared with its least one; what is not tied to the same
+text by then is compared pair by pair, in large buckets only where the prefixes of the shingle
+sets meet, which loses no pair above the threshold. A candidate's signature is compared before
+its shingles are fetched.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import random
-import re
 from collections.abc import Iterator, Sequence
 from functools import cache
 
@@ -21,18 +23,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.config import NearDuplicates
+from corpusloom.functions.arrays import LETTER, NUMBER, classes, code_points, runs, segment_hashes, slices
 from corpusloom.functions.pytext import canonical, canonical_text
 from corpusloom.operators.components import connected_components
+from corpusloom.operators.joins import join_groups
 from corpusloom.session import arrow_function, cut_lineage, ship_package
 
-PRIME = (1 << 61) - 1
-_EMPTY = (1 << 64) - 1
-#: Texts of a bucket up to which all its pairs are compared.
+#: Texts of a bucket up to which pairs are made in the bucket; in larger ones by the prefixes of their shingle sets. Both are exact.
 PAIRED = 64
-#: Rounds in which larger buckets are tied to their least texts before their prefixes are joined.
-STAR_ROUNDS = 3
 #: Counters that tell frequent shingles from rare ones.
 SLOTS = 1 << 18
+#: Standard deviations by which a candidate's signature may fall short of the threshold (chance below 3e-7).
+DEVIATIONS = 5
 
 
 def text_hash(spark: SparkSession, c: Column | str) -> Column:
@@ -59,68 +61,90 @@ def first_copies(df: DataFrame, order: Sequence[str], text: str = "text") -> Dat
     return hashed.join(first, ["text_hash", *order], "left_semi")
 
 
-def shingles(text: str, config: NearDuplicates) -> set[bytes]:
-    """Word n-grams of the case-folded text; a text of at least ``min_words`` but fewer than n words gives one."""
-    words = re.findall(r"\w+", text.casefold())
-    if len(words) < config.min_words:
-        return set()
-    last = max(1, len(words) - config.ngram_size + 1)
-    return {" ".join(words[i : i + config.ngram_size]).encode() for i in range(last)}
+def shingle_sets(texts: pa.Array, config: NearDuplicates) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of each text's word n-grams, and the texts' offsets in them.
 
-
-def base_hashes(found: set[bytes]) -> np.ndarray:
-    """Hashes of shingles below the prime."""
-    return np.array(sorted({int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little") % PRIME for s in found}), np.uint64)
+    Words are runs of letters, numbers and underscores of the case-folded text; a text of at least
+    ``min_words`` but fewer than n words has one shingle of all its words.
+    """
+    folded = pa.array([(t or "").casefold() for t in texts.to_pylist()], pa.large_string())
+    cp, offs = code_points(folded)
+    kind = classes()[cp]
+    starts, ends = runs((kind == LETTER) | (kind == NUMBER) | (cp == ord("_")), offs)
+    words = segment_hashes(cp, starts, ends)
+    edge = np.searchsorted(starts, offs)
+    count = np.diff(edge)
+    grams = np.where(count >= config.min_words, np.maximum(count - config.ngram_size + 1, 1), 0)
+    doc = np.repeat(np.arange(len(grams)), grams)
+    first = edge[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(grams) - grams, grams)
+    found = segment_hashes(words, first, np.minimum(first + config.ngram_size, edge[doc + 1]))
+    order = np.lexsort((found, doc))
+    found, doc = found[order], doc[order]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]) | (doc[1:] != doc[:-1])
+    return found[new], np.searchsorted(doc[new], np.arange(len(grams) + 1))
 
 
 @cache
 def coefficients(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Multipliers and offsets of the permutations: all multipliers are drawn first."""
+    """Odd multipliers and offsets of the permutations of 64-bit hashes: all multipliers are drawn first."""
     rng = random.Random(seed)
-    a = [rng.randrange(1, PRIME) for _ in range(n)]
-    return np.array(a, np.uint64), np.array([rng.randrange(0, PRIME) for _ in range(n)], np.uint64)
-
+    a = [rng.randrange(1, 1 << 64, 2) for _ in range(n)]
+    return np.array(a, np.uint64), np.array([rng.randrange(1 << 64) for _ in range(n)], np.uint64)
 
-def _fold(x: np.ndarray) -> np.ndarray:
-    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
-    return np.where(x >= np.uint64(PRIME), x - np.uint64(PRIME), x)
 
+def signatures(found: np.ndarray, edges: np.ndarray, config: NearDuplicates) -> np.ndarray:
+    """Least a x h + b modulo 2^64 of each text's shingles for each permutation; all ones without shingles."""
+    out = np.full((len(edges) - 1, config.num_permutations), ~np.uint64(0), np.uint64)
+    full = np.flatnonzero(np.diff(edges))
+    if len(full):
+        for k, (a, b) in enumerate(zip(*coefficients(config.seed, config.num_permutations))):
+            out[full, k] = np.minimum.reduceat(found * a + b, edges[full])
+    return out
 
-def multiplied(a: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """a x h modulo 2^61 - 1 for each pair, by limbs of 31 and 30 bits."""
-    low, high = np.uint64((1 << 31) - 1), np.uint64(31)
-    a0, a1, h0, h1 = (a & low)[:, None], (a >> high)[:, None], (h & low)[None, :], (h >> high)[None, :]
-    mid = a1 * h0 + a0 * h1  # below 2^62
-    top = a1 * h1  # below 2^60; 2^62 = 2 modulo the prime
-    carried = (mid >> np.uint64(30)) + ((mid & np.uint64((1 << 30) - 1)) << np.uint64(31))
-    return _fold(_fold(top << np.uint64(1)) + _fold(carried) + _fold(a0 * h0))
 
-
-def signature(hashes: np.ndarray, config: NearDuplicates) -> np.ndarray:
-    """Least (a x h + b) modulo the prime for each permutation; all ones without shingles."""
-    if len(hashes) == 0:
-        return np.full(config.num_permutations, _EMPTY, np.uint64)
-    a, b = coefficients(config.seed, config.num_permutations)
-    out = np.full(config.num_permutations, _EMPTY, np.uint64)
-    for i in range(0, len(hashes), 4096):
-        out = np.minimum(out, _fold(multiplied(a, hashes[i : i + 4096]) + b[:, None]).min(1))
-    return out
+def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
+    """A 64-bit key for each text and band."""
+    parts = sig.reshape(len(sig), bands, sig.shape[1] // bands)
+    keys = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), parts.shape[:2]) * np.uint64(0xD1342543DE82EF95)
+    for k in range(parts.shape[2]):
+        keys = (keys ^ parts[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return keys.view(np.int64)
 
 
 def sketches(spark: SparkSession, text: Column | str, config: NearDuplicates) -> Column:
-    """Struct of the sorted shingle hashes and the keys of the bands; both empty for a text without shingles."""
-    rows = config.num_permutations // config.bands
+    """Struct of the number of shingles, the keys of the bands (none without shingles) and the last bytes of the signature."""
 
     def sketch(texts: pa.Array) -> pa.Array:
-        found, keys = [], []
-        for t in texts.to_pylist():
-            h = base_hashes(shingles(t or "", config))
-            found.append(h.astype(np.int64))
-            sig = signature(h, config).reshape(config.bands, rows) if len(h) else ()
-            keys.append([int.from_bytes(hashlib.blake2b(band.tobytes(), digest_size=8).digest(), "little", signed=True) for band in sig])
-        return pa.StructArray.from_arrays([pa.array(found, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], ["shingles", "bands"])
+        sizes, keys, edges, marks = [], [], [0], []
+        for part in slices(texts):
+            found, at = shingle_sets(part, config)
+            sig = signatures(found, at, config)
+            size = np.diff(at)
+            sizes.append(size)
+            keys.append(band_keys(sig[size > 0], config.bands).ravel())
+            edges.extend((edges[-1] + np.cumsum((size > 0) * config.bands)).tolist())
+            marks.extend(row.tobytes() for row in sig.astype(np.uint8))
+        none = [np.zeros(0, np.int64)]
+        bands = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(keys or none)))
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(sizes or none).astype(np.int32)), bands, pa.array(marks, pa.binary())], ["size", "bands", "marks"])
+
+    return arrow_function(spark, sketch, "struct<size: int, bands: array<long>, marks: binary>")(F.col(text) if isinstance(text, str) else text)
+
+
+def shingled(spark: SparkSession, text: Column | str, config: NearDuplicates) -> Column:
+    """The sorted shingle hashes of a text."""
 
-    return arrow_function(spark, sketch, "struct<shingles: array<long>, bands: array<long>>")(F.col(text) if isinstance(text, str) else text)
+    def shingle(texts: pa.Array) -> pa.Array:
+        edges, values = [0], []
+        for part in slices(texts):
+            found, at = shingle_sets(part, config)
+            values.append(found.view(np.int64))
+            edges.extend((edges[-1] + at[1:]).tolist())
+        return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(np.concatenate(values or [np.zeros(0, np.int64)])))
+
+    return arrow_function(spark, shingle, "array<long>")(F.col(text) if isinstance(text, str) else text)
 
 
 def jaccard(a: Column | str, b: Column | str) -> Column:
@@ -129,19 +153,44 @@ def jaccard(a: Column | str, b: Column | str) -> Column:
     return both / F.greatest(F.size(a) + F.size(b) - both, F.lit(1))
 
 
-def _scored(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
-    mine = sketched.select("ordinal", F.col("shingles").alias("a"))
-    other = sketched.select(F.col("ordinal").alias("least"), F.col("shingles").alias("b"))
-    return cut_lineage(pairs.distinct().join(mine, "ordinal").join(other, "least").select("ordinal", "least", jaccard("a", "b").alias("similarity")))
+def agreeing(spark: SparkSession, a: Column, b: Column) -> Column:
+    """Equal bytes of two binaries of equal length."""
+
+    def count(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([int(np.count_nonzero(np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8))) for p, q in zip(x.to_pylist(), y.to_pylist())], pa.int64())
+
+    return arrow_function(spark, count, "long")(a, b)
+
+
+def least_agreement(config: NearDuplicates) -> int:
+    """Agreeing permutations below which a pair is taken for one under the threshold."""
+    m, t = config.num_permutations, config.similarity_threshold
+    return math.floor(m * t - DEVIATIONS * math.sqrt(m * t * (1 - t)))
+
+
+class Comparer:
+    """Compares pairs (``ordinal``, ``other``) of the texts of a table: signatures first, then shingle sets."""
+
+    def __init__(self, texts: DataFrame, sketched: DataFrame, config: NearDuplicates) -> None:
+        self.texts, self.marks, self.config = texts, sketched.select("ordinal", "marks"), config
+
+    def _likely(self, pairs: DataFrame) -> DataFrame:
+        mine, other = self.marks.withColumnRenamed("marks", "a"), self.marks.select(F.col("ordinal").alias("other"), F.col("marks").alias("b"))
+        both = pairs.join(mine, "ordinal").join(other, "other")
+        return both.filter(agreeing(pairs.sparkSession, F.col("a"), F.col("b")) >= least_agreement(self.config)).select("ordinal", "other")
 
+    def sets(self, ordinals: DataFrame) -> DataFrame:
+        """``ordinal`` and ``shingles`` of some texts."""
+        rows = self.texts.join(ordinals, "ordinal", "left_semi")
+        return cut_lineage(rows.select("ordinal", shingled(rows.sparkSession, "text", self.config).alias("shingles")))
 
-def _star_round(open_rows: DataFrame, sketched: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Edges to the least member of each bucket, and the bucket members that are not alike to it."""
-    least = open_rows.groupBy("band", "key").agg(F.min("ordinal").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    asked = open_rows.join(least, ["band", "key"]).filter("ordinal <> least")
-    scored = _scored(asked.select("ordinal", "least"), sketched)
-    missed = scored.filter(F.col("similarity") < threshold).select("ordinal", "least")
-    return scored.filter(F.col("similarity") >= threshold), asked.join(missed, ["ordinal", "least"], "left_semi").drop("least")
+    def alike(self, pairs: DataFrame) -> DataFrame:
+        """The pairs, each once, that reach the threshold, with their ``similarity``."""
+        likely = cut_lineage(self._likely(pairs.distinct()))
+        sets = self.sets(likely.select("ordinal").unionByName(likely.select(F.col("other").alias("ordinal"))).distinct())
+        mine, other = sets.withColumnRenamed("shingles", "a"), sets.select(F.col("ordinal").alias("other"), F.col("shingles").alias("b"))
+        scored = likely.join(mine, "ordinal").join(other, "other").select("ordinal", "other", jaccard("a", "b").alias("similarity"))
+        return cut_lineage(scored.filter(F.col("similarity") >= self.config.similarity_threshold))
 
 
 def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
@@ -166,86 +215,98 @@ def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
     return texts.select("ordinal", "label", F.size("shingles").alias("size"), first.alias("first")).select("ordinal", "label", "size", F.posexplode("first").alias("place", "token"))
 
 
-def _prefix_edges(large: DataFrame, tied: DataFrame, sketched: DataFrame, threshold: float) -> DataFrame:
-    """Edges between all alike texts of large buckets but those tied to the same text already."""
-    label = tied.groupBy("ordinal").agg(F.min("least").alias("label"))
-    texts = sketched.join(large.select("ordinal").distinct(), "ordinal", "left_semi").join(label, "ordinal", "left")
-    first = cut_lineage(_prefixes(texts.select("ordinal", F.coalesce("label", "ordinal").alias("label"), "shingles"), threshold))
+def _prefix_pairs(texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of texts (``ordinal``, ``label``, ``shingles``) with other labels that may reach the threshold."""
+    first = cut_lineage(_prefixes(texts, threshold))
     mixed = first.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("token")
     first = first.join(mixed, "token", "left_semi")
     other = first.select("token", *[F.col(c).alias(f"other_{c}") for c in ("ordinal", "label", "size", "place")])
     # At the first shingle that two sets share, what follows in each bounds what they share.
     bound = F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place"))
     near = bound >= (F.col("size") + F.col("other_size")) * (threshold / (1 + threshold)) - 1e-6
-    pairs = first.join(other, "token").filter((F.col("other_ordinal") < F.col("ordinal")) & (F.col("other_label") != F.col("label")) & near)
-    keys = sketched.select("ordinal", F.col("bands").alias("x"))
-    other_keys = sketched.select(F.col("ordinal").alias("least"), F.col("bands").alias("y"))
-    found = pairs.select("ordinal", F.col("other_ordinal").alias("least")).distinct().join(keys, "ordinal").join(other_keys, "least")
-    met = found.filter(F.exists(F.zip_with("x", "y", lambda a, b: a == b), lambda same: same)).select("ordinal", "least")
-    return _scored(met, sketched).filter(F.col("similarity") >= threshold)
+    return first.join(other, "token").filter((F.col("other_ordinal") < F.col("ordinal")) & (F.col("other_label") != F.col("label")) & near).select("ordinal", F.col("other_ordinal").alias("other"))
 
 
 def near_duplicate_edges(df: DataFrame, config: NearDuplicates, ordinal: str, text: str = "text") -> DataFrame:
-    """``ordinal``, ``least`` and ``similarity``: links that tie all alike texts that share a bucket.
+    """``ordinal``, ``other`` (the lesser) and ``similarity``: links that tie all alike texts that share a bucket.
 
-    Buckets of up to ``PAIRED`` texts are compared pair by pair. In a larger one texts are tied to
-    the least, the untied ones to the least of them, and so on for ``STAR_ROUNDS``; then all its
-    pairs that are not tied to the same text are looked for by the prefixes of their shingle sets.
-    With ``verify`` off the members of a bucket are tied unseen.
+    The texts of a bucket are compared with its least one. Of those not tied to the same text
+    the pairs are compared, in a bucket of more than ``PAIRED`` texts those whose prefixes meet;
+    both ways find every pair above the threshold. With ``verify`` off the members of a bucket
+    are tied unseen.
     """
-    sketched = df.select(F.col(ordinal).alias("ordinal"), sketches(df.sparkSession, text, config).alias("s")).select("ordinal", "s.*")
-    sketched = cut_lineage(sketched)
-    rows = sketched.select("ordinal", F.posexplode("bands").alias("band", "key"))
-    sizes = rows.groupBy("band", "key").agg(F.min("ordinal").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = rows.join(sizes, ["band", "key"])
+    texts = df.select(F.col(ordinal).alias("ordinal"), F.col(text).alias("text"))
+    sketched = cut_lineage(texts.select("ordinal", sketches(df.sparkSession, "text", config).alias("s")).select("ordinal", "s.*"))
+    rows = sketched.select("ordinal", "size", F.explode("bands").alias("key"))
+    groups = cut_lineage(rows.groupBy("key").agg(F.min("ordinal").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    total = sketched.count() * config.bands
+    shared = join_groups(rows, groups, ["key"], total)
     if not config.verify:
-        return shared.filter("ordinal <> least").select("ordinal", "least", F.lit(None).cast("double").alias("similarity")).distinct()
-    shared = cut_lineage(shared.drop("least"))
-    small = shared.filter(F.col("n") <= PAIRED).drop("n")
-    pairs = small.join(small.select("band", "key", F.col("ordinal").alias("least")), ["band", "key"]).filter("least < ordinal").select("ordinal", "least")
-    edges = _scored(pairs, sketched).filter(F.col("similarity") >= config.similarity_threshold)
-    large = shared.filter(F.col("n") > PAIRED).drop("n")
-    if large.isEmpty():
-        return edges.distinct()
-    tied, open_rows = _star_round(large, sketched, config.similarity_threshold)
-    for _ in range(STAR_ROUNDS - 1):
-        alike, rest = _star_round(cut_lineage(open_rows), sketched, config.similarity_threshold)
-        tied, open_rows = tied.unionByName(alike), rest
-    return edges.unionByName(tied).unionByName(_prefix_edges(large, tied, sketched, config.similarity_threshold)).distinct()
-
-
-def deduplicate(df: DataFrame, config: NearDuplicates | None = None, ordinal: str = "doc_id", text: str = "text") -> DataFrame:
+        return shared.filter("ordinal <> least").select("ordinal", F.col("least").alias("other"), F.lit(None).cast("double").alias("similarity")).distinct()
+    shared = cut_lineage(shared)
+    compare, threshold = Comparer(texts, sketched, config), config.similarity_threshold
+    tied = compare.alike(shared.filter("ordinal <> least").select("ordinal", F.col("least").alias("other")))
+    label = tied.groupBy("ordinal").agg(F.min("other").alias("label"))
+    marked = cut_lineage(shared.join(label, "ordinal", "left").withColumn("label", F.coalesce("label", "ordinal")))
+    mixed = marked.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"), F.max("n").alias("all")).filter("low < high").drop("all")
+    small = marked.join(mixed.filter(F.col("n") <= PAIRED).select("key"), "key", "left_semi")
+    other = small.select("key", F.col("ordinal").alias("other"), F.col("label").alias("other_label"), F.col("size").alias("other_size"))
+    sized = F.least("size", "other_size") >= F.greatest("size", "other_size") * threshold - 1e-6
+    pairs = small.join(other, "key").filter((F.col("other") < F.col("ordinal")) & (F.col("other") != F.col("least")) & (F.col("label") != F.col("other_label")) & sized).select("ordinal", "other")
+    large = cut_lineage(mixed.filter(F.col("n") > PAIRED).select("key"))
+    if not large.isEmpty():
+        members = marked.join(F.broadcast(large) if large.count() <= 1000 else large, "key", "left_semi").select("ordinal", "label").distinct()
+        pairs = pairs.unionByName(_prefix_pairs(compare.sets(members).join(members, "ordinal"), threshold))
+    return tied.unionByName(compare.alike(pairs))
+
+
+def _fallback_id(df: DataFrame, key: str, text_hash_column: str) -> Column:
+    """The row's id as text; a missing or blank one is replaced by the hash of the canonical text."""
+    value = F.col(key).cast("string")
+    return F.when(F.trim(value) != "", value).otherwise(F.concat(F.lit("sha256:"), text_hash_column))
+
+
+def deduplicate(df: DataFrame, config: NearDuplicates | None = None, ordinal: str = "doc_id", text: str = "text", record_id: str | None = None) -> DataFrame:
     """The table with ``representative``, ``dedup_cluster_id`` and ``kind`` for every row.
 
-    ``ordinal`` gives the scan order and must be unique and not null. ``kind`` is kept, exact or
-    near; a row alone in its cluster is its own representative. Exact copies take part in near
+    ``ordinal`` gives the scan order and must be unique and not null. ``kind`` is kept, exact (the
+    same canonical text as the representative's) or near; a row alone in its cluster is its own representative. Exact copies take part in near
     duplicates through their first row. Null and empty texts are copies of each other.
+    ``dedup_cluster_id`` hashes the representative's ``record_id`` (by default its ordinal); a
+    blank id is replaced by the hash of the canonical text.
     """
     config = config or NearDuplicates()
     hashed = df.withColumn("__hash", text_hash(df.sparkSession, F.coalesce(F.col(text), F.lit(""))))
-    first = hashed.groupBy("__hash").agg(F.min(ordinal).alias("__first"))
-    known = cut_lineage(hashed.select(F.col(ordinal).alias("__ordinal"), "__hash").join(first, "__hash").select("__ordinal", "__first"))
-    heads = df.join(known.filter("__ordinal = __first").select(F.col("__ordinal").alias(ordinal)), ordinal, "left_semi")
-    clusters = connected_components(near_duplicate_edges(heads, config, ordinal, text).select("ordinal", "least"))
-    whole = known.join(clusters.withColumnRenamed("node", "__first"), "__first", "left").select("__ordinal", "__first", F.coalesce("component", "__first").alias("representative"))
-    kind = F.when(F.col("__ordinal") == F.col("representative"), "kept").when(F.col("__ordinal") != F.col("__first"), "exact").otherwise("near")
-    labelled = whole.select(F.col("__ordinal").alias(ordinal), "representative", kind.alias("kind"))
-    cluster = F.concat(F.lit("sha256:"), F.sha2(F.col("representative").cast("string"), 256))
-    return df.join(labelled, ordinal).withColumn("dedup_cluster_id", cluster)
+    known = cut_lineage(hashed.select(F.col(ordinal).alias("__ordinal"), "__hash", _fallback_id(df, record_id or ordinal, "__hash").alias("__id")))
+    groups = cut_lineage(known.groupBy("__hash").agg(F.min("__ordinal").alias("__first"), F.count(F.lit(1)).alias("n")))
+    known = join_groups(known, groups, ["__hash"], known.count()).select("__ordinal", "__first", "__id")
+    heads = df.select(ordinal, text).join(groups.select(F.col("__first").alias(ordinal)), ordinal, "left_semi")
+    clusters = connected_components(near_duplicate_edges(heads, config, ordinal, text).select("ordinal", "other"))
+    sizes = cut_lineage(clusters.withColumnRenamed("node", "__first"))
+    whole = known.join(sizes, "__first", "left").select("__ordinal", "__first", "__id", F.coalesce("component", "__first").alias("representative"))
+    kind = F.when(F.col("__ordinal") == F.col("representative"), "kept").when(F.col("__first") == F.col("representative"), "exact").otherwise("near")
+    whole = cut_lineage(whole.withColumn("kind", kind))
+    names = whole.filter("kind = 'kept'").select("representative", F.concat(F.lit("sha256:"), F.sha2("__id", 256)).alias("dedup_cluster_id"))
+    members = whole.groupBy("representative").agg(F.count(F.lit(1)).alias("n")).join(names, "representative")
+    labelled = join_groups(whole, cut_lineage(members), ["representative"], whole.count()).select(F.col("__ordinal").alias(ordinal), "representative", "kind", "dedup_cluster_id")
+    return df.join(labelled, ordinal)
 
 
 def match_audit(labelled: DataFrame, config: NearDuplicates | None = None, ordinal: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each removed row: its representative, kind, cluster and similarity with the representative.
 
     An exact copy has similarity 1; that of a near duplicate may lie below the threshold where a
-    chain of others ties the two.
+    chain of others ties the two. Only near duplicates and their representatives are shingled.
     """
     config = config or NearDuplicates()
-    sketched = labelled.select(F.col(ordinal).alias("o"), "representative", "kind", "dedup_cluster_id", sketches(labelled.sparkSession, text, config)["shingles"].alias("s"))
-    removed = sketched.filter("kind <> 'kept'")
-    heads = sketched.filter("kind = 'kept'").select(F.col("o").alias("representative"), F.col("s").alias("head"))
-    similarity = F.when(F.col("kind") == "exact", 1.0).otherwise(jaccard("s", "head"))
-    return removed.join(heads, "representative").select(F.col("o").alias("duplicate"), "representative", "kind", similarity.alias("similarity"), F.col("dedup_cluster_id").alias("cluster_id"))
+    slim = labelled.select(F.col(ordinal).alias("o"), "representative", "kind", "dedup_cluster_id", F.col(text).alias("t"))
+    near = slim.filter("kind = 'near'").select("o", "representative", "dedup_cluster_id", shingled(slim.sparkSession, "t", config).alias("s"))
+    asked = near.groupBy("representative").agg(F.count(F.lit(1)).alias("n"))
+    heads = slim.filter("kind = 'kept'").select("representative", "t").join(asked, "representative").select("representative", "n", shingled(slim.sparkSession, "t", config).alias("head"))
+    scored = join_groups(cut_lineage(near), cut_lineage(heads), ["representative"], labelled.count())
+    out = scored.select(F.col("o").alias("duplicate"), "representative", F.lit("near").alias("kind"), jaccard("s", "head").alias("similarity"), F.col("dedup_cluster_id").alias("cluster_id"))
+    exact = slim.filter("kind = 'exact'").select(F.col("o").alias("duplicate"), "representative", "kind", F.lit(1.0).alias("similarity"), F.col("dedup_cluster_id").alias("cluster_id"))
+    return out.unionByName(exact)
 
 
 def preferred_copies(df: DataFrame, cluster: str, quality: Sequence[str], key: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import Normalization
 from corpusloom.functions.pytext import decode_text
-from corpusloom.functions.text import once
+from corpusloom.functions.text import computed
 
 # Fixed value: blanks within a line after control characters are gone.
 _BLANKS = r"[\t\x0b\x0c\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -34,11 +34,11 @@ def normalize(df: DataFrame, config: Normalization | None = None, text: str = "t
     """The table with its text column normalized; null becomes the empty text, other columns and rows stay."""
     config = config or Normalization()
     lines = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), r"\r\n?", "\n")
-    rows = df.withColumn(text, once(lines))
+    rows = computed(df, text, lines)
     hard = F.col(text).rlike(_NEEDS_PYTHON)
     decode = decode_text(df.sparkSession, F.when(hard, F.col(text)), config.decode_html_entities, config.strip_html, config.unicode_form, config.remove_control_characters)
     rows = rows.withColumn(text, F.coalesce(decode, F.col(text)))
-    return rows.withColumn(text, once(layout(F.col(text), config)))
+    return computed(rows, text, layout(F.col(text), config))
 
 
 def lower_case(df: DataFrame, text: str = "text") -> DataFrame:

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.config import Rules
-from corpusloom.functions.text import SPACES, WORD, once
+from corpusloom.functions.text import SPACES, WORD, computed
 
 # Lines that only number a page or lines of one.
 _PAGE = r"\s*(?:page\s+\d{1,6}(?:\s+(?:of|/)\s*\d{1,6})?|\d{1,6}\s+(?:of|/)\s*\d{1,6})\s*"
-_LINES = r"\s*lines?\s+\d{1,7}(?:\s*[-\x{2013}]\s*\d{1,7})?\s*"
+_LINES = r"\s*lines?\s+\d{1,7}(?:\s*[-–]\s*\d{1,7})?\s*"
 _TAG = r"</?[A-Za-z][^>]*>"
 
 
@@ -61,7 +61,7 @@ def apply_rules(df: DataFrame, config: Rules | None = None, text: str = "text",
     of the table is replaced; all rows stay.
     """
     config = config or Rules()
-    return df.drop(name).withColumn(name, once(judged(F.coalesce(F.col(text), F.lit("")), config)))
+    return computed(df.drop(name), name, judged(F.coalesce(F.col(text), F.lit("")), config))
 
 
 def let(value: Column, f: Callable[[Column], Column]) -> Column:

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.config import NearDuplicates, Normalization, Rules, Settings
+from corpusloom.config import BUILD_DUPLICATES, NearDuplicates, Normalization, Rules, Settings
 from corpusloom.functions.hashing import sampled
 from corpusloom.functions.text import estimated_tokens
 from corpusloom.operators import dedup, sampling, sft, shards, stats
@@ -112,7 +112,7 @@ def build_corpus(spark: SparkSession, legal_paths: str, replay_paths: str | None
         last = still.agg(F.max("ordinal").alias("o")).first().o
         cut = F.struct(F.lit(last.corpus_rank).alias("corpus_rank"), F.lit(last.major).cast("long").alias("major"), F.lit(last.minor).cast("long").alias("minor"))
         rows = rows.filter((F.col("corpus") != REPLAY) | (F.col("ordinal") <= cut))
-    near = NearDuplicates(similarity_threshold=0.5) if config.near_duplicates else None
+    near = BUILD_DUPLICATES if config.near_duplicates else None
     return publish(cut_lineage(survivors(rows, near)), out, config, accept.stage_counters(rows))
 
 
@@ -128,7 +128,7 @@ def build_proportional(spark: SparkSession, legal_paths: str, replay_paths: str,
     chances = sampling.oversampled(quotas, weights, config.oversample)
     share = sampling.oversampled({REPLAY: replay_target}, {REPLAY: measured}, config.oversample)[REPLAY]
     rows = accept_all(sampling.bernoulli_by_stratum(legal, chances, config.seed, LEGAL), replay.filter(sampled(config.seed, "slimpajama_1b", "source_file", "source_row", share)))
-    kept = cut_lineage(survivors(rows, NearDuplicates(similarity_threshold=0.5) if config.near_duplicates else None).withColumns(quota_group()))
+    kept = cut_lineage(survivors(rows, BUILD_DUPLICATES if config.near_duplicates else None).withColumns(quota_group()))
     held = {(r.quota_type, r.quota_jurisdiction): r.n for r in kept.groupBy("quota_type", "quota_jurisdiction").agg(F.sum("estimated_tokens").alias("n")).collect()}
     original = {(k.lower(), j): q for (k, j), q in quotas.items()}
     adjusted, received = sampling.redistribute(original, held)

@@ -6,6 +6,7 @@ import unicodedata
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -100,11 +101,38 @@ def test_components_equal_union_find(spark):
     assert components.connected_components(spark.createDataFrame([], "a string, b string")).collect() == []
 
 
-def test_mulmod_is_exact():
-    rng = np.random.default_rng(1)
-    a, h = rng.integers(1, dedup.PRIME, 50, np.uint64), rng.integers(0, dedup.PRIME, 40, np.uint64)
-    got = dedup.multiplied(a, h)
-    assert all(int(got[i, j]) == int(x) * int(y) % dedup.PRIME for i, x in enumerate(a) for j, y in enumerate(h))
+def shingles(text, config):
+    """Word n-grams as the reference method has them."""
+    words = re.findall(r"\w+", text.casefold())
+    if len(words) < config.min_words:
+        return set()
+    return {tuple(words[i : i + config.ngram_size]) for i in range(max(1, len(words) - config.ngram_size + 1))}
+
+
+def share(a, b):
+    return len(a & b) / len(a | b) if a and b else 0.0
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet="aBc_ ßΣ.1é\n", max_size=80), max_size=8))
+def test_shingle_sets_equal_python(values):
+    config = NearDuplicates(ngram_size=3, min_words=2)
+    found, edges = dedup.shingle_sets(pa.array(values, pa.string()), config)
+    sets = [shingles(t, config) for t in values]
+    assert [len(s) for s in sets] == np.diff(edges).tolist()
+    mine = [set(found[a:b].tolist()) for a, b in zip(edges, edges[1:])]
+    assert all(share(mine[i], mine[j]) == share(sets[i], sets[j]) for i in range(len(values)) for j in range(i))
+
+
+def test_signatures_estimate_the_similarity():
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    config = NearDuplicates(num_permutations=1024, bands=32)
+    texts = [" ".join(words), " ".join(words[:300] + [f"x{i}" for i in range(100)])]
+    found, edges = dedup.shingle_sets(pa.array(texts), config)
+    sig = dedup.signatures(found, edges, config)
+    assert abs((sig[0] == sig[1]).mean() - share(*(shingles(t, config) for t in texts))) < 0.05
+    assert (dedup.signatures(found[:0], np.zeros(2, int), config) == 2**64 - 1).all()
 
 
 def test_deduplication_equals_all_pairs(spark):
@@ -115,7 +143,7 @@ def test_deduplication_equals_all_pairs(spark):
     df = texts(spark, rows)
     config = NearDuplicates(num_permutations=128, bands=32)
     got = {r.doc_id: (r.representative, r.kind) for r in dedup.deduplicate(df, config).collect()}
-    sets = [dedup.shingles(pytext.canonical(t or ""), config) for t in rows]
+    sets = [shingles(pytext.canonical(t or ""), config) for t in rows]
     keys = [pytext.canonical(t or "") for t in rows]
     first = {}
     for i, k in enumerate(keys):
@@ -145,9 +173,10 @@ def test_large_buckets_lose_no_link(spark):
     rows = [" ".join(core + ring[12 * (i % 20) : 12 * (i % 20) + 140] + [f"t{i}"]) for i in range(80)]
     rows += [" ".join(core + rng.choices(ring, k=140)) for _ in range(10)]
     keep = NearDuplicates(num_permutations=1, bands=1)
-    sets = [dedup.shingles(t, keep) for t in rows]
+    sets = [shingles(t, keep) for t in rows]
     seeded = (NearDuplicates(num_permutations=1, bands=1, seed=s) for s in range(1000))
-    config = next(c for c in seeded if len({int(dedup.signature(dedup.base_hashes(s), c)[0]) for s in sets}) == 1)
+    found, edges = dedup.shingle_sets(pa.array(rows), keep)
+    config = next(c for c in seeded if len(set(dedup.signatures(found, edges, c)[:, 0].tolist())) == 1)
     root = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
@@ -158,6 +187,41 @@ def test_large_buckets_lose_no_link(spark):
     assert len(rows) > dedup.PAIRED and [got[i] for i in range(len(rows))] == root
 
 
+def test_recall_against_brute_force_and_few_rounds_on_boilerplate(spark):
+    rng = random.Random(11)
+    boiler = [f"b{i}" for i in range(70)]
+    rows = []
+    for _ in range(150):  # half of each text is the same boilerplate; every second one has an edited copy
+        own = [f"o{rng.randrange(10**6)}" for _ in range(80)]
+        rows.append(" ".join(boiler + own))
+        edited = own[:]
+        edited[rng.randrange(80)] = "edited"
+        rows.append(" ".join(boiler + edited))
+    config = NearDuplicates()
+    sets = [shingles(t, config) for t in rows]
+    true = {(i, j) for i in range(len(rows)) for j in range(i) if share(sets[i], sets[j]) >= 0.8}
+    edges = dedup.near_duplicate_edges(texts(spark, rows), config, "doc_id").collect()
+    found = {(r.ordinal, r.other) for r in edges}
+    assert found <= true and len(found) >= 0.95 * len(true) and len(true) == 150
+    half = NearDuplicates(similarity_threshold=0.5, num_permutations=240, bands=60)
+    mixed = [" ".join(own.split()[: 80 + i % 40] + [f"z{i}_{k}" for k in range(40 - i % 40)]) for i, own in enumerate(rows[:80])]
+    sets = [shingles(t, half) for t in rows[:80] + mixed]
+    true = {(i, j) for i in range(160) for j in range(i) if share(sets[i], sets[j]) >= 0.5}
+    got = {r.doc_id: r.representative for r in dedup.deduplicate(texts(spark, rows[:80] + mixed), half).collect()}
+    assert sum(got[i] == got[j] for i, j in true) >= 0.95 * len(true)
+
+
+def test_cluster_ids_and_unverified_buckets(spark):
+    body = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, "a", body), (2, " ", body + " tail"), (3, None, body.upper()), (4, None, "Other text")], "doc_id long, id string, text string")
+    rows = {r.doc_id: r for r in dedup.deduplicate(df, record_id="id").collect()}
+    digest = lambda x: "sha256:" + hashlib.sha256(x.encode()).hexdigest()
+    assert {i: r.kind for i, r in rows.items()} == {1: "kept", 2: "near", 3: "exact", 4: "kept"}
+    assert {rows[i].dedup_cluster_id for i in (1, 2, 3)} == {digest("a")} and rows[4].dedup_cluster_id == digest(digest("other text"))
+    loose = NearDuplicates(num_permutations=240, bands=60, verify=False)
+    assert {r.doc_id: r.representative for r in dedup.deduplicate(df, loose).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_allocation():
     weights = {("a", "x"): 5, ("b", "y"): 3, ("c", "z"): 1}
     assert sampling.largest_remainder(10, weights) == {("a", "x"): 6, ("b", "y"): 3, ("c", "z"): 1}
@@ -183,12 +247,24 @@ def test_prefix_sums_do_not_depend_on_slices(spark):
         sampling.budget_prefix(df, ["o"], "n", 10_000)
 
 
-def test_next_fit(spark):
-    opened, held = shards.next_fit(np.array([0, 30, 5, 8, 3, 0, 9]), 10)
-    assert opened.tolist() == [1, 1, 2, 3, 4, 4, 5] and held == 9
-    df = spark.createDataFrame([(i, (i * 7) % 13) for i in range(300)], "o long, n long")
-    got = [r.shard for r in shards.assign_shards(df, ["o"], "n", 20).orderBy("o").collect()]
-    assert got == (shards.next_fit(np.array([(i * 7) % 13 for i in range(300)]), 20)[0] - 1).tolist()
+def fold(tokens, target):
+    """Next-fit as a loop."""
+    shard, held, out = -1, None, []
+    for t in tokens:
+        if held is None or (held > 0 and held + t > target):
+            shard, held = shard + 1, 0
+        held += t
+        out.append(shard)
+    return out
+
+
+@pytest.mark.parametrize("tokens,target", [([(i * 7) % 13 for i in range(300)], 20), ([0, 0, 30, 5, 8, 3, 0, 9, 90, 0, 1, 0], 10), ([0, 0, 0], 5), ([3] * 40, 1), ([1] * 100 + [500] + [4] * 60, 16)])
+def test_next_fit_equals_the_fold_over_many_slices(spark, tokens, target):
+    df = spark.createDataFrame([(i, t or None) for i, t in enumerate(tokens)], "o long, n long")
+    for slices in (64, 2, 1):
+        got = [r.shard for r in shards.assign_shards(df, ["o"], "n", target, slices).orderBy("o").collect()]
+        assert got == fold(tokens, target)
+    assert shards.assign_shards(df.limit(0), ["o"], "n", target).collect() == []
 
 
 def test_perplexity(spark, tmp_path):
