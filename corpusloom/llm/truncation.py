@@ -1,10 +1,11 @@
 """Texts that were cut before their end, found by the company of their last words.
 
-Words and stops of all texts are reduced to shapes and counted as trigrams, inside texts and at
-their ends. A text's last trigram speaks for a cut when it is frequent inside texts but almost
-never ends one; a rare last trigram, as after a cut inside a word, is judged by the trigram
-before it. Where both are rare there is no trigram evidence and the end itself decides. What
-remains is held against that end: running text that no stop and no closing line ends.
+Words and stops of all texts are reduced to shapes and counted as trigrams, with how often each
+ends a block. How often a text's last trigram ends one (its terminal rate) decides: what is
+frequent inside texts but almost never terminal speaks for a cut. Rates of rare trigrams lean
+on those of the last two shapes, of the last one and of its class, so that a word broken in the
+middle is judged by how rarely lower-case words end a block. Loaders' marks, closing lines and
+whether the end reads as running text are features beside it.
 """
 
 from __future__ import annotations
@@ -14,39 +15,41 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.labels import source_label
 from corpusloom.llm.quality import FUNCTION_WORDS
+from corpusloom.operators.joins import join_groups
 from corpusloom.session import cut_lineage
 
-#: A trigram that ends texts in more than this share of its occurrences is no sign of a cut.
-END_SHARE = 0.05
-#: Occurrences inside texts from which a last trigram counts as seen.
-SEEN = 3
+#: A terminal rate of at most this share of that of all trigrams is "almost never".
+RARELY = 0.25
+#: Occurrences that the rate of the shorter shape counts for.
+LEAN = 5
 #: A short last block whose shape or wording ends at least this share of all distinct texts (and CLOSING_TEXTS of them), and more than
-#: END_SHARE of the blocks that begin with it, is a closing line, unless more than MARKED_SHARE of those texts bear a mark.
-CLOSING_SHARE, CLOSING_TEXTS, MARKED_SHARE = 0.0003, 3, 0.1
+#: CLOSING_BEGUN of the blocks that begin with it, is a closing line, unless more than MARKED_SHARE of those texts bear a mark.
+CLOSING_SHARE, CLOSING_TEXTS, CLOSING_BEGUN, MARKED_SHARE = 0.0003, 3, 0.05, 0.1
 #: Tokens of a last block up to which it may be a closing line.
 CLOSING_TOKENS = 10
 #: Share of function words from which a last block is running text.
 RUNNING = 0.12
-#: Characters of the begin of a block that hold the tokens of a closing line and one more.
+#: Characters that hold the tokens of a closing line and one more.
 BLOCK_HEAD = 160
-#: Characters of the end of a text in which a loader's mark is looked for.
+#: Characters at the end of a text that hold its last tokens and whatever the patterns of the end admit.
 TAIL = 400
-#: Characters of the end of the last block that tell whether it is running text.
-BLOCK_TAIL = 1500
 _WHITE = " \t\n\r\u00a0\u2002\u2007\u2009\u202f\u3000"
 # A last line between dashes, as loaders add it to every text.
 _RECORD = r"^\s*[-=_~]{2,}.*[-=_~]{2,}\s*$"
 # What loaders leave at a cut: dots, a broken character, a note in brackets, the begin of a tag, entity or escape, a dash.
 _MARK = (
     r"(?i)(?:\s*(?:\x{2026}|\.{3,}|\x{FFFD}+|[\[(<{]\s*(?:truncated|cut|cut off|more|continued|snip|snipped|\.{3}|\x{2026})[^\])>}\n]{0,20}[\])>}]"
-    r"|</?[a-z]{0,10}|&[a-z#0-9]{1,8}|\\u[0-9a-f]{0,4}|\s[-\x{2013}]))+\s*\z"
+    r"|</?[a-z]{0,10}|&[a-z#0-9]{1,8}|\\u[0-9a-f]{0,4}|\s[-\x{2013}])){1,4}\s*\z"
 )
 # Abbreviations whose full stop ends no sentence.
 _ABBREVIATED = r"(?:^|[\s(])(?:No|Nos|Art|Arts|Nr|Abs|v|vs|cf|para|paras|Sec|sec|Ch|ch|p|pp|Vol|vol|Dr|Mr|Mrs|Ms|Prof|St|al|Ltd|Inc|Co|αρ|αρθ|παρ|чл|ал)\.\z"
 # Last lines that close a text wherever they stand.
 _CLOSED = r"(?i)^[^\p{L}\p{N}]*(?:the end|end|end of (?:the )?(?:text|document|file))[^\p{L}\p{N}]*\z"
-# A stop, with closing quotes or brackets, and notes in brackets after it.
-_STOPPED = r"[.!?\x{037E}][\"'\x{201D}\x{2019}\x{00BB})\]]*(?:\s*[\[(][^\])\n]{1,40}[\])][\"'\x{201D}\x{2019}\x{00BB}]*)*\s*\z"
+# Quotes and brackets that close after a stop, and notes in brackets after it.
+_CLOSERS = r"(?<=[.!?\x{037E}])(?:[\"'\x{201D}\x{2019}\x{00BB})\]]+|\s*[\[(][^\])\n]{1,40}[\])])+\s*\z"
+_ODD = r"[\p{Cf}\x{FF01}-\x{FF5E}\t]|[\p{Zs}&&[^ ]]|  "
+# Classes of shapes: words, capitalised words, numbers, stops, others.
+WORD, CAPITAL, NUMBER, STOP, OTHER = range(5)
 
 
 def _without_end(text: Column, characters: Column) -> Column:
@@ -54,10 +57,11 @@ def _without_end(text: Column, characters: Column) -> Column:
 
 
 def plain_end(text: Column) -> Column:
-    """An end of a text without invisible characters, with full-width and odd blanks as plain ones."""
+    """A text without invisible characters, with full-width and odd blanks as plain ones."""
     wide = "".join(chr(i) for i in range(0xFF01, 0xFF5F))
     narrow = "".join(chr(i - 0xFEE0) for i in range(0xFF01, 0xFF5F))
-    return F.regexp_replace(F.regexp_replace(F.translate(text, wide, narrow), r"\p{Cf}+", ""), r"[\p{Zs}\t]+", " ")
+    plain = F.regexp_replace(F.regexp_replace(F.translate(text, wide, narrow), r"\p{Cf}+", ""), r"[\p{Zs}\t]+", " ")
+    return F.when(text.rlike(_ODD), plain).otherwise(text)
 
 
 def shapes(text: Column, capitals: bool = False) -> Column:
@@ -68,31 +72,87 @@ def shapes(text: Column, capitals: bool = False) -> Column:
     return F.regexp_extract_all(s, F.lit(r"[\p{L}\p{M}]+|[^\s\p{L}\p{M}]"), F.lit(0))
 
 
-def trigram_counts(texts: Column, df: DataFrame) -> DataFrame:
-    """Trigrams (as 64-bit hashes) of the shapes of all texts and their ``occurrences``."""
-    rows = df.select(shapes(texts).alias("t"))
-    room = F.greatest(F.size("t") - 2, F.lit(0))
-    triples = F.arrays_zip(*[F.slice("t", F.lit(i), room).alias(a) for i, a in enumerate("abc", 1)])
-    each = rows.select(F.explode(triples).alias("g"))
-    return each.select(F.xxhash64("g.a", "g.b", "g.c").alias("trigram")).groupBy("trigram").agg(F.count(F.lit(1)).alias("occurrences"))
+def numbered(tokens: Column) -> Column:
+    """A 61-bit hash of each shape with its class in the lowest three bits."""
 
+    def number(x: Column) -> Column:
+        kind = F.when(x == "\u0002", CAPITAL).when(x == "\u0001", NUMBER).when(x.isin(".", "!", "?", "\u037e"), STOP).when(x.rlike(r"^\p{L}"), WORD).otherwise(OTHER)
+        return F.shiftleft(F.xxhash64(x), 3).bitwiseOR(kind.cast("long"))
 
-def begun_blocks(df: DataFrame, text: str, shapes_asked: DataFrame) -> DataFrame:
-    """For each ``shape`` of ``shapes_asked`` the blocks of all texts that begin with it and go on."""
+    return F.transform(tokens, number)
+
+
+def trigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
+    """Trigrams ``a``, ``b``, ``c`` of the shapes of all texts, how often they occur (``n``) and how often they end a block (``ends``).
+
+    A block's first shapes are preceded by a sign for its begin. The last trigram of each of a text's last two blocks
+    is left out: it may be that of a cut, or of what a loader put after one.
+    """
+    blocks = F.split(F.col(text), "\n\n")
+    each = df.select(F.posexplode(blocks).alias("at", "b"), F.size(blocks).alias("blocks"))
+    tokens = F.concat(F.array(F.lit(0).cast("long"), F.lit(0).cast("long")), numbered(shapes(plain_end(F.col("b")))))
+    inner = F.col("at") < F.col("blocks") - 2
+    rows = each.select(tokens.alias("t"), inner.alias("inner"))
+    room = F.greatest(F.size("t") - 2 - F.when(F.col("inner"), 0).otherwise(1), F.lit(0))
+    ends = F.when(F.col("inner") & (room > 0), F.concat(F.array_repeat(F.lit(0), room - 1), F.array(F.lit(1)))).otherwise(F.array_repeat(F.lit(0), room))
+    triples = F.arrays_zip(*[F.slice("t", F.lit(i), room).alias(a) for i, a in enumerate("abc", 1)], ends.alias("e"))
+    return rows.select(F.explode(triples).alias("g")).select("g.*").groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("ends"))
+
+
+def terminal_rates(slim: DataFrame, counts: DataFrame) -> tuple[DataFrame, float]:
+    """The rows of ``slim`` that have last shapes (``a``, ``b``, ``c``), with their ``rate`` and ``evidence``; and the rate of all trigrams.
+
+    The ends of stopped texts count as terminal beside those of inner blocks, each distinct text
+    once and the one that is judged left out. ``evidence`` names the longest shape that was seen
+    elsewhere: trigram, pair, last, or class. Any sentence may be a text's last, so a stop (not
+    that of an abbreviation) is judged by its own rate, whatever words stand before it.
+    """
+    whole = F.count(F.lit(1))
+    ended = slim.filter("c IS NOT NULL").groupBy("a", "b", "c", "content").agg(whole.alias("copies"), F.max(F.col("stopped").cast("int")).alias("stops"))
+    asked = cut_lineage(ended.groupBy("a", "b", "c").agg(F.sum("copies").alias("n"), F.sum("stops").alias("stops")))
+    every = counts.unionByName(asked.filter("stops > 0").select("a", "b", "c", F.col("stops").alias("n"), F.col("stops").alias("ends")))
+    sums = lambda df, keys, k: df.groupBy(*keys).agg(F.sum("n").alias(f"n{k}"), F.sum("ends").alias(f"e{k}"))
+    ones = cut_lineage(sums(every, ["c"], 1))
+    kind = F.col("c").bitwiseAND(F.lit(7).cast("long")).cast("int")
+    classes = {r.kind: (r.n, r.e) for r in ones.groupBy(kind.alias("kind")).agg(F.sum("n1").alias("n"), F.sum("e1").alias("e")).collect()}
+    base = sum(e for _, e in classes.values()) / max(sum(n for n, _ in classes.values()), 1)
+    pairs = cut_lineage(asked.groupBy("b", "c").agg(whole.alias("n")))
+    last = cut_lineage(pairs.groupBy("c").agg(whole.alias("n")).join(ones, "c", "left"))
+    of_pairs = sums(every.join(pairs, ["b", "c"], "left_semi"), ["b", "c"], 2)
+    known = join_groups(pairs.withColumnRenamed("n", "asked"), last, ["c"], pairs.count()).drop("n").withColumnRenamed("asked", "n")
+    known = cut_lineage(known.join(of_pairs, ["b", "c"], "left"))
+    of_triples = sums(every.join(asked, ["a", "b", "c"], "left_semi"), ["a", "b", "c"], 3)
+    known = join_groups(asked.select("a", "b", "c", F.col("n").alias("rows")), known, ["b", "c"], asked.count()).drop("n").withColumnRenamed("rows", "n")
+    known = cut_lineage(known.join(of_triples, ["a", "b", "c"], "left").fillna(0))
+    rows = join_groups(slim, known, ["a", "b", "c"], slim.count()).drop("n")
+
+    own = F.col("stopped").cast("int")
+    rate = F.lit(float(base))
+    for k, (n, e) in classes.items():
+        rate = F.when(kind == k, (F.lit(float(e)) - own + LEAN * base) / (F.lit(float(n)) - own + LEAN)).otherwise(rate)
+    for k in (1, 2, 3):
+        longer = (F.col(f"e{k}") - own + LEAN * rate) / (F.col(f"n{k}") - own + LEAN)
+        rate = longer if k == 1 else F.when(F.col("stopped"), rate).otherwise(longer)
+    evidence = F.when(F.col("stopped") & (F.col("n1") > own), "last").when(F.col("n3") > own, "trigram").when(F.col("n2") > own, "pair").when(F.col("n1") > own, "last").otherwise("class")
+    return rows.select(*slim.columns, rate.alias("rate"), evidence.alias("evidence")), base
+
+
+def begun_blocks(df: DataFrame, text: str, asked: DataFrame) -> DataFrame:
+    """For each ``shape`` of ``asked`` the blocks of all texts that begin with it and go on."""
     block = df.select(F.explode(F.split(F.col(text), "\n\n")).alias("b")).select(F.left("b", F.lit(BLOCK_HEAD)).alias("b")).filter("b <> ''")
     both = F.array(*[F.slice(shapes(plain_end(F.col("b")), capitals), 1, CLOSING_TOKENS + 1) for capitals in (False, True)])
     heads = block.select(F.explode(F.array_distinct(both)).alias("t"))
     starts = F.filter(F.sequence(F.lit(1), F.lit(CLOSING_TOKENS)), lambda k: k <= F.size("t"))
     begin = lambda k: F.xxhash64(k, F.array_join(F.slice("t", F.lit(1), k - 1), " "))
     begun = heads.select("t", F.explode(starts).alias("k")).select(begin(F.col("k")).alias("h"), F.element_at("t", F.col("k")).alias("token"), (F.size("t") > F.col("k")).alias("more"))
-    asked = shapes_asked.select("shape", F.split("shape", " ").alias("t")).select("shape", begin(F.size("t")).alias("h"), F.element_at("t", -1).alias("end"))
+    lines = asked.select("shape", F.split("shape", " ").alias("t")).select("shape", begin(F.size("t")).alias("h"), F.element_at("t", -1).alias("end"))
     # A longer last word goes on too: what ends in a broken word is the begin of the whole one.
     goes_on = F.col("token").startswith(F.col("end")) & (F.col("more") | (F.col("token") != F.col("end")))
-    return begun.join(F.broadcast(asked), "h").filter(goes_on).groupBy("shape").agg(F.count(F.lit(1)).alias("begun"))
+    return begun.join(F.broadcast(lines), "h").filter(goes_on).groupBy("shape").agg(F.count(F.lit(1)).alias("begun"))
 
 
 def endings(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Each text without a loader's line and mark (``bare``), its last block, and what its end looks like."""
+    """Each text without a loader's line and mark (``bare``), and whether it had a mark."""
     trimmed = F.rtrim(F.col(text), F.lit(_WHITE))
     last_line = F.substring_index("trimmed", "\n", -1)
     rows = df.select(F.col(key).alias("key"), source_label("source").alias("source"), trimmed.alias("trimmed"))
@@ -100,9 +160,8 @@ def endings(df: DataFrame, key: str, text: str) -> DataFrame:
     rows = rows.withColumn("full", F.when(record, _without_end(F.col("trimmed"), F.length(last_line))).otherwise(F.col("trimmed")))
     tail = F.right("full", F.lit(TAIL))
     rows = rows.withColumn("mark", F.length(tail) - F.length(F.regexp_replace(tail, _MARK, "")))
-    rows = rows.withColumn("bare", F.when(F.col("mark") > 0, _without_end(F.col("full"), F.col("mark"))).otherwise(F.col("full")))
-    end = plain_end(F.right("bare", F.lit(TAIL)))
-    return rows.select("key", "source", "bare", (F.col("mark") > 0).alias("marked"), (end.rlike(_STOPPED) & ~end.rlike(_ABBREVIATED)).alias("stopped"))
+    bare = F.when(F.col("mark") > 0, _without_end(F.col("full"), F.col("mark"))).otherwise(F.col("full"))
+    return rows.select("key", "source", (F.col("mark") > 0).alias("marked"), bare.alias("bare"))
 
 
 def _running(block: Column, previous: Column) -> Column:
@@ -117,61 +176,57 @@ def _function_words() -> list[str]:
     return list(dict.fromkeys(w for kinds in FUNCTION_WORDS.values() for text in kinds for w in text.split() if w != "no"))
 
 
-def cut_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows with ``key``, ``source``, their trigram evidence and ``cut``.
-
-    A null text, like an empty or blank one, is not cut. Repeated rows stay, but texts that end alike are counted by
-    distinct texts, the one that is judged left out; ends with a loader's mark or an abbreviation are none. ``evidence`` names the trigram that ``end_share`` is of: last, before,
-    or none where both occur fewer than SEEN times inside texts; then the share is null and the end of the text decides.
-    """
-    ended = endings(df, key, text)
+def described_ends(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Each text's features: its last three shapes (``a``, ``b``, ``c``), whether it is marked, stopped and running, and the shapes of a short last block."""
     whole = F.substring_index("bare", "\n\n", -1)
     before = F.rtrim(F.left("bare", F.greatest(F.length("bare") - F.length(whole) - 2, F.lit(0))))
-    cut_out = ended.select(
-        "key", "source", "marked", "stopped", F.xxhash64("bare").alias("content"), (F.length("bare") > 0).alias("any"), (F.length(whole) <= TAIL).alias("short"),
-        plain_end(F.right("bare", F.lit(TAIL))).alias("end"), plain_end(F.right(whole, F.lit(BLOCK_TAIL))).alias("block"),
-        F.right(F.substring_index(before, "\n\n", -1), F.lit(TAIL)).alias("previous"),
+    parts = endings(df, key, text).select(
+        "key", "source", "marked", F.xxhash64("bare").alias("content"), (F.length("bare") > 0).alias("any"), (F.length(whole) <= TAIL).alias("short"),
+        F.regexp_replace(plain_end(F.right("bare", F.lit(TAIL))), _CLOSERS, "").alias("end"), plain_end(whole).alias("block"), F.right(F.substring_index(before, "\n\n", -1), F.lit(TAIL)).alias("previous"),
     )
-    tokens = shapes(F.when(F.col("end").rlike(_ABBREVIATED), F.left("end", F.length("end") - 1)).otherwise(F.col("end")))
-    described = cut_out.select(
-        "key", "source", "marked", "stopped", "content", "any", tokens.alias("t"),
+    named = lambda c: F.when(F.size(c) <= CLOSING_TOKENS, F.array_join(c, " "))
+    abbreviated = F.col("end").rlike(_ABBREVIATED)
+    stopped = F.col("end").rlike(r"[.!?\x{037E}]\s*\z") & ~abbreviated
+    tokens = numbered(shapes(F.when(abbreviated, F.left("end", F.length("end") - 1)).otherwise(F.col("end"))))
+    rows = parts.select(
+        "key", "source", "marked", "content", "any", F.coalesce(stopped, F.lit(False)).alias("stopped"), F.concat(F.array(F.lit(0).cast("long"), F.lit(0).cast("long")), tokens).alias("t"),
         *[F.when(F.col("short"), shapes(F.col("block"), capitals)).alias(name) for capitals, name in ((False, "block_shape"), (True, "block_words"))],
-        (F.col("short") & F.col("block").rlike(_CLOSED)).alias("closed"),
-        (F.col("marked") | F.col("end").rlike(_ABBREVIATED)).alias("open"),
-        _running(F.col("block"), F.col("previous")).alias("running"),
+        (F.col("short") & F.col("block").rlike(_CLOSED)).alias("closed"), _running(F.col("block"), F.col("previous")).alias("running"),
     )
-    n = F.size("t")
-    gram = lambda back: F.when(n >= 3 + back, F.xxhash64(*[F.try_element_at("t", F.lit(i - back)) for i in (-3, -2, -1)]))
-    named_shape = lambda c: F.when(F.size(c) <= CLOSING_TOKENS, F.array_join(c, " "))
-    slim = cut_lineage(described.select("key", "source", "marked", "stopped", "content", "any", "running", gram(0).alias("last"), gram(1).alias("before"), "open", "closed", named_shape("block_shape").alias("shape"), named_shape("block_words").alias("wording")))
+    last = [F.when(F.size("t") > 2, F.try_element_at("t", F.lit(i))).alias(n) for i, n in ((-3, "a"), (-2, "b"), (-1, "c"))]
+    return cut_lineage(rows.select("key", "source", "marked", "stopped", "content", "any", "running", "closed", *last, named("block_shape").alias("shape"), named("block_words").alias("wording")))
+
+
+def closing_lines(slim: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """The ``shape`` of the short last blocks that close texts; at most 1 / CLOSING_SHARE shapes and as many wordings."""
     least = max(CLOSING_TEXTS, CLOSING_SHARE * slim.select("content").distinct().count())
     lines = slim.select("content", "marked", F.explode(F.array_distinct(F.array("shape", "wording"))).alias("shape")).filter("shape IS NOT NULL").groupBy("shape", "content").agg(F.max("marked").alias("marked"))
     lines = lines.groupBy("shape").agg(F.count(F.lit(1)).alias("alike"), F.count_if("marked").alias("marks"))
     lines = cut_lineage(lines.filter((F.col("alike") >= least) & (F.col("marks") <= MARKED_SHARE * F.col("alike"))))
     begun = lines.join(begun_blocks(df, text, lines), "shape", "left").fillna(0, ["begun"])
-    closing = begun.filter(F.col("alike") > END_SHARE * (F.col("alike") + F.col("begun"))).select("shape")
-    closing = cut_lineage(closing)
-    final = slim.filter("last IS NOT NULL").groupBy(F.col("last").alias("trigram"), "content").agg(F.count(F.lit(1)).alias("copies"), F.max((~F.col("open")).cast("int")).alias("ended"))
-    ends = final.groupBy("trigram").agg(F.sum("copies").alias("last_of"), F.sum("ended").alias("ends"))
-    asked = slim.select(F.explode(F.array("last", "before")).alias("trigram")).filter("trigram IS NOT NULL").distinct()
-    known = asked.join(trigram_counts(F.col(text), df), "trigram", "left").join(ends, "trigram", "left").fillna(0)
-    counts = cut_lineage(known.select("trigram", (F.col("occurrences") - F.col("last_of")).alias("inside"), "ends"))
-    named = lambda a: counts.select(F.col("trigram").alias(a), F.col("inside").alias(f"{a}_inside"), F.col("ends").alias(f"{a}_ends"))
+    return cut_lineage(begun.filter(F.col("alike") > CLOSING_BEGUN * (F.col("alike") + F.col("begun"))).select("shape"))
+
+
+def cut_texts(df: DataFrame, key: str = "doc_id", text: str = "text", trigrams: bool = True) -> DataFrame:
+    """All rows with ``key``, ``source``, their trigram evidence and ``cut``.
+
+    A text is cut if it reads as running text, ends in shapes that almost never end a block, and
+    bears a loader's mark or no closing line. A null text, like an empty or blank one, is not
+    cut. Repeated rows stay, but texts that end alike are counted by distinct texts, the one that
+    is judged left out. ``rate`` is the terminal rate of the last trigram and ``evidence`` the
+    longest shape of it that was seen elsewhere. Without ``trigrams`` the features alone decide
+    (for comparison).
+    """
+    slim = described_ends(df, key, text)
+    closing = closing_lines(slim, df, text)
+    rated, base = terminal_rates(slim, cut_lineage(trigram_counts(df, text)))
+    rated = rated.unionByName(slim.filter("c IS NULL").withColumns({"rate": F.lit(None).cast("double"), "evidence": F.lit("none")}))
     by_shape, by_wording = closing.withColumn("closing_shape", F.lit(True)), closing.select(F.col("shape").alias("wording"), F.lit(True).alias("closing_words"))
-    lined = slim.join(F.broadcast(by_shape), "shape", "left").join(F.broadcast(by_wording), "wording", "left")
-    lined = lined.withColumn("closing", F.coalesce("closing_shape", "closing_words", "closed", F.lit(False)))
-    joined = lined.join(named("last"), "last", "left").join(named("before"), "before", "left")
-    filled = joined.fillna(0, ["last_inside", "last_ends", "before_inside", "before_ends"]).fillna(False, ["stopped", "marked", "any", "running"])
-    # Ends alone make no unstopped trigram seen: broken words end several texts and stand inside none.
-    own = F.greatest(F.col("last_ends") - F.when(F.col("open"), 0).otherwise(1), F.lit(0))  # without this text's own end
-    evidence = F.when(F.col("last_inside") + F.when(F.col("stopped"), own).otherwise(0) >= SEEN, "last").when(F.col("before_inside") >= SEEN, "before").otherwise("none")
-    others = F.when(F.col("stopped") | (own >= SEEN), own).otherwise(0)  # a few other cuts at the same place are no ends
-    of_last, of_before = others / (F.col("last_inside") + others), F.try_divide(F.col("before_ends"), F.col("before_inside") + F.col("before_ends"))
-    filled = filled.withColumn("evidence", evidence)
-    share = F.when(F.col("evidence") == "last", of_last).when(F.col("evidence") == "before", of_before)
-    inside_text = share.isNull() | (share <= END_SHARE)
-    cut = F.col("any") & F.col("running") & (F.col("marked") | ~F.col("stopped") & ~F.col("closing")) & inside_text
-    return filled.select(F.col("key").alias(key), "source", "marked", "stopped", "running", "closing", "evidence", share.alias("end_share"), cut.alias("cut"))
+    lined = rated.join(F.broadcast(by_shape), "shape", "left").join(F.broadcast(by_wording), "wording", "left")
+    lined = lined.withColumn("closing", F.coalesce("closing_shape", "closing_words", "closed", F.lit(False))).fillna(False, ["marked", "any", "running"])
+    rare = F.coalesce(F.col("rate") <= RARELY * base, F.lit(False)) if trigrams else F.lit(True)
+    cut = F.col("any") & F.col("running") & (F.col("marked") | ~F.col("closing")) & rare
+    return lined.select(F.col("key").alias(key), "source", "marked", "stopped", "running", "closing", "evidence", "rate", cut.alias("cut"))
 
 
 def cut_rates(cut: DataFrame) -> DataFrame:

@@ -171,14 +171,22 @@ def test_closing_lines_are_distinct_rare_inside_and_never_beat_a_mark(spark):
     assert sorted(r.doc_id for r in got.filter("cut").collect()) == [100, 101, 102, 200, 201, 202, 203, 300]
 
 
-def test_trigrams_decide_unstopped_ends(spark):
-    ended = [(i, PROSE + f"It was Case{chr(97 + i)}.\n\n" + "The record of the matter was kept and the parties agreed to what the court had said at length", "s") for i in range(6)]
-    inside = [(50 + i, PROSE + f"The record of the matter was kept and the claimant of Town{chr(97 + i)} was heard, as the court had said at length before.", "s") for i in range(6)]
-    cut = [(100, PROSE + "The record of the matter was kept and the claimant", "t")]
-    got = {r.doc_id: r for r in truncation.cut_texts(docs(spark, ended + inside + cut)).collect()}
-    assert [i for i, r in sorted(got.items()) if r.cut] == [100]
-    assert got[0].evidence == "last" and got[0].end_share > truncation.END_SHARE and not got[0].stopped and not got[0].closing
-    assert got[100].evidence == "last" and got[100].end_share == 0
+def test_trigrams_decide(spark):
+    heard = "The claimant of Town{0} was heard.\n\nThe court had said so.\n\nThe record was kept as filed under no. {1}"
+    ended = [(i, PROSE + heard.format(chr(97 + i), i), "s") for i in range(8)]
+    blocks = [(20 + i, "\n\n".join([PROSE + "The record was kept as filed under no. 5", PROSE, "It was so.", PROSE + f"It was Case{chr(97 + i)}."]), "s") for i in range(8)]
+    cut = [(100, PROSE + "The record of the matter was kept and the claimant", "t"), (101, PROSE + "The record of the matt", "t"), (102, PROSE + "As laid down in No.", "t")]
+    df = docs(spark, ended + blocks + cut)
+    got = {r.doc_id: r for r in truncation.cut_texts(df).collect()}
+    assert [i for i, r in sorted(got.items()) if r.cut] == [100, 101, 102]
+    plain = {r.doc_id for r in truncation.cut_texts(df, trigrams=False).filter("cut").collect()}
+    assert plain > {100, 101, 102} and len(plain) > 10
+    assert got[0].rate > got[100].rate and not got[0].stopped and got[101].evidence in ("class", "last")
+
+
+def test_trigrams_count_blocks(spark):
+    df = docs(spark, [(1, "One two.\n\nthree four.\n\nfive six.\n\nseven"), (2, None), (3, "")])
+    assert truncation.trigram_counts(df).agg(F.sum("n"), F.sum("ends")).first()[:] == (3 + 3 + 2 + 0, 2)
 
 
 def test_names():
