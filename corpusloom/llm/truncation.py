@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.labels import source_label
+from corpusloom.functions.text import computed
 from corpusloom.llm.quality import FUNCTION_WORDS
 from corpusloom.operators.joins import join_groups
 from corpusloom.session import cut_lineage
@@ -41,13 +42,19 @@ _MARK = (
     r"(?i)(?:\s*(?:\x{2026}|\.{3,}|\x{FFFD}+|[\[(<{]\s*(?:truncated|cut|cut off|more|continued|snip|snipped|\.{3}|\x{2026})[^\])>}\n]{0,20}[\])>}]"
     r"|</?[a-z]{0,10}|&[a-z#0-9]{1,8}|\\u[0-9a-f]{0,4}|\s[-\x{2013}])){1,4}\s*\z"
 )
+# What one of these begins with, and characters that hold the longest.
+_MARK_BEGIN, MARK = r"[\x{2026}\x{FFFD}\[(<{&\\\-\x{2013}]|\.\.\.", 48
 # Abbreviations whose full stop ends no sentence.
 _ABBREVIATED = r"(?:^|[\s(])(?:No|Nos|Art|Arts|Nr|Abs|v|vs|cf|para|paras|Sec|sec|Ch|ch|p|pp|Vol|vol|Dr|Mr|Mrs|Ms|Prof|St|al|Ltd|Inc|Co|αρ|αρθ|παρ|чл|ал)\.\z"
 # Last lines that close a text wherever they stand.
 _CLOSED = r"(?i)^[^\p{L}\p{N}]*(?:the end|end|end of (?:the )?(?:text|document|file))[^\p{L}\p{N}]*\z"
 # Quotes and brackets that close after a stop, and notes in brackets after it.
 _CLOSERS = r"(?<=[.!?\x{037E}])(?:[\"'\x{201D}\x{2019}\x{00BB})\]]+|\s*[\[(][^\])\n]{1,40}[\])])+\s*\z"
-_ODD = r"[\p{Cf}\x{FF01}-\x{FF5E}\t]|[\p{Zs}&&[^ ]]|  "
+_CLOSING, _STOPS = ("\"", "'", "\u201d", "\u2019", "\u00bb", ")", "]"), (".", "!", "?", "\u037e")
+#: Characters that hold an abbreviation and what stands before it.
+ABBREVIATION = 10
+# A character that is written more plainly; printable ASCII is passed over at once.
+_ODD = r"[^\x0a\x20-\x7e](?<=[\p{Cf}\x{FF01}-\x{FF5E}\p{Zs}\t])"
 # Classes of shapes: words, capitalised words, numbers, stops, others.
 WORD, CAPITAL, NUMBER, STOP, OTHER = range(5)
 
@@ -64,43 +71,55 @@ def plain_end(text: Column) -> Column:
     return F.when(text.rlike(_ODD), plain).otherwise(text)
 
 
-def shapes(text: Column, capitals: bool = False) -> Column:
-    """Words and stops in order; numbers and (without ``capitals``) capitalised words by a sign each, other words as they stand."""
+def shapes(text: Column, capitals: bool = False, breaks: bool = False) -> Column:
+    """Words and stops in order; numbers and (without ``capitals``) capitalised words by a sign each, other words as they stand.
+
+    With ``breaks`` a break between blocks is a shape too: two line feeds, but one for the text's last break.
+    """
     s = F.regexp_replace(text, r"[0-9]+(?:[.,][0-9]+)*", "\u0001")
     if not capitals:
         s = F.regexp_replace(s, r"\p{Lu}[\p{L}\p{M}]*", "\u0002")
-    return F.regexp_extract_all(s, F.lit(r"[\p{L}\p{M}]+|[^\s\p{L}\p{M}]"), F.lit(0))
+    between = r"\n\n(?=(?s:.*)\n\n)|\n(?=\n)|" if breaks else ""
+    return F.regexp_extract_all(s, F.lit(between + r"[\p{L}\p{M}]+|[^\s\p{L}\p{M}]"), F.lit(0))
+
 
+def identity(x: Column) -> Column:
+    """A 61-bit hash of a shape with its class in the lowest three bits; what is longer than a character is a word."""
+    first = F.ascii(x)
+    kind = (
+        F.when(first.between(97, 122), WORD).when(x == "\u0002", CAPITAL).when(x == "\u0001", NUMBER).when(x.isin(".", "!", "?", "\u037e"), STOP)
+        .when(F.char_length(x) > 1, WORD).when((first >= 128) & x.rlike(r"^\p{L}"), WORD).otherwise(OTHER)
+    )
+    return F.shiftleft(F.xxhash64(x), 3).bitwiseOR(kind.cast("long"))
 
-def numbered(tokens: Column) -> Column:
-    """A 61-bit hash of each shape with its class in the lowest three bits."""
 
-    def number(x: Column) -> Column:
-        kind = F.when(x == "\u0002", CAPITAL).when(x == "\u0001", NUMBER).when(x.isin(".", "!", "?", "\u037e"), STOP).when(x.rlike(r"^\p{L}"), WORD).otherwise(OTHER)
-        return F.shiftleft(F.xxhash64(x), 3).bitwiseOR(kind.cast("long"))
+def gram_keys(a: Column, b: Column, c: Column) -> list[Column]:
+    """Keys of a trigram, of its last two shapes and of its last one."""
+    return [F.xxhash64(a, b, c).alias("three"), F.xxhash64(b, c).alias("two"), identity(c).alias("one")]
 
-    return F.transform(tokens, number)
+
+def padded(tokens: Column) -> Column:
+    """Shapes of a block after signs for its begin."""
+    return F.concat(F.array(F.lit("\n\n"), F.lit("\n\n")), tokens)
 
 
 def trigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """Trigrams ``a``, ``b``, ``c`` of the shapes of all texts, how often they occur (``n``) and how often they end a block (``ends``).
+    """Trigrams of the shapes of all texts by their keys, how often they occur (``n``) and how often they end a block (``ends``).
 
-    A block's first shapes are preceded by a sign for its begin. The last trigram of each of a text's last two blocks
-    is left out: it may be that of a cut, or of what a loader put after one.
+    The break between blocks is a shape of its own. The last trigram of a text and that before
+    its last break are left out: they may be those of a cut, or of what a loader put after one.
     """
-    blocks = F.split(F.col(text), "\n\n")
-    each = df.select(F.posexplode(blocks).alias("at", "b"), F.size(blocks).alias("blocks"))
-    tokens = F.concat(F.array(F.lit(0).cast("long"), F.lit(0).cast("long")), numbered(shapes(plain_end(F.col("b")))))
-    inner = F.col("at") < F.col("blocks") - 2
-    rows = each.select(tokens.alias("t"), inner.alias("inner"))
-    room = F.greatest(F.size("t") - 2 - F.when(F.col("inner"), 0).otherwise(1), F.lit(0))
-    ends = F.when(F.col("inner") & (room > 0), F.concat(F.array_repeat(F.lit(0), room - 1), F.array(F.lit(1)))).otherwise(F.array_repeat(F.lit(0), room))
-    triples = F.arrays_zip(*[F.slice("t", F.lit(i), room).alias(a) for i, a in enumerate("abc", 1)], ends.alias("e"))
-    return rows.select(F.explode(triples).alias("g")).select("g.*").groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("ends"))
+    tokens = shapes(F.concat(F.lit("\n\n"), plain_end(F.col(text))), breaks=True)
+    rows = computed(df.select(text), "t", tokens)
+    room = F.greatest(F.size("t") - 3, F.lit(0))
+    fours = F.arrays_zip(*[F.slice("t", F.lit(i), room).alias(a) for i, a in enumerate("abcd", 1)])
+    each = rows.select(F.explode(fours).alias("g")).select("g.*").filter("NOT startswith(c, '\n') AND d <> '\n'")
+    grams = each.select(*gram_keys(F.col("a"), F.col("b"), F.col("c")), (F.col("d") == "\n\n").cast("int").alias("e"))
+    return grams.groupBy("three", "two", "one").agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("ends"))
 
 
 def terminal_rates(slim: DataFrame, counts: DataFrame) -> tuple[DataFrame, float]:
-    """The rows of ``slim`` that have last shapes (``a``, ``b``, ``c``), with their ``rate`` and ``evidence``; and the rate of all trigrams.
+    """The rows of ``slim`` that have last shapes (``three``, ``two``, ``one``), with their ``rate`` and ``evidence``; and the rate of all trigrams.
 
     The ends of stopped texts count as terminal beside those of inner blocks, each distinct text
     once and the one that is judged left out. ``evidence`` names the longest shape that was seen
@@ -108,23 +127,23 @@ def terminal_rates(slim: DataFrame, counts: DataFrame) -> tuple[DataFrame, float
     that of an abbreviation) is judged by its own rate, whatever words stand before it.
     """
     whole = F.count(F.lit(1))
-    ended = slim.filter("c IS NOT NULL").groupBy("a", "b", "c", "content").agg(whole.alias("copies"), F.max(F.col("stopped").cast("int")).alias("stops"))
-    asked = cut_lineage(ended.groupBy("a", "b", "c").agg(F.sum("copies").alias("n"), F.sum("stops").alias("stops")))
-    every = counts.unionByName(asked.filter("stops > 0").select("a", "b", "c", F.col("stops").alias("n"), F.col("stops").alias("ends")))
+    ended = slim.filter("one IS NOT NULL").groupBy("three", "two", "one", "content").agg(whole.alias("copies"), F.max(F.col("stopped").cast("int")).alias("stops"))
+    asked = cut_lineage(ended.groupBy("three", "two", "one").agg(F.sum("copies").alias("n"), F.sum("stops").alias("stops")))
+    every = counts.unionByName(asked.filter("stops > 0").select("three", "two", "one", F.col("stops").alias("n"), F.col("stops").alias("ends")))
     sums = lambda df, keys, k: df.groupBy(*keys).agg(F.sum("n").alias(f"n{k}"), F.sum("ends").alias(f"e{k}"))
-    ones = cut_lineage(sums(every, ["c"], 1))
-    kind = F.col("c").bitwiseAND(F.lit(7).cast("long")).cast("int")
+    ones = cut_lineage(sums(every, ["one"], 1))
+    kind = F.col("one").bitwiseAND(F.lit(7).cast("long")).cast("int")
     classes = {r.kind: (r.n, r.e) for r in ones.groupBy(kind.alias("kind")).agg(F.sum("n1").alias("n"), F.sum("e1").alias("e")).collect()}
     base = sum(e for _, e in classes.values()) / max(sum(n for n, _ in classes.values()), 1)
-    pairs = cut_lineage(asked.groupBy("b", "c").agg(whole.alias("n")))
-    last = cut_lineage(pairs.groupBy("c").agg(whole.alias("n")).join(ones, "c", "left"))
-    of_pairs = sums(every.join(pairs, ["b", "c"], "left_semi"), ["b", "c"], 2)
-    known = join_groups(pairs.withColumnRenamed("n", "asked"), last, ["c"], pairs.count()).drop("n").withColumnRenamed("asked", "n")
-    known = cut_lineage(known.join(of_pairs, ["b", "c"], "left"))
-    of_triples = sums(every.join(asked, ["a", "b", "c"], "left_semi"), ["a", "b", "c"], 3)
-    known = join_groups(asked.select("a", "b", "c", F.col("n").alias("rows")), known, ["b", "c"], asked.count()).drop("n").withColumnRenamed("rows", "n")
-    known = cut_lineage(known.join(of_triples, ["a", "b", "c"], "left").fillna(0))
-    rows = join_groups(slim, known, ["a", "b", "c"], slim.count()).drop("n")
+    pairs = cut_lineage(asked.groupBy("two", "one").agg(whole.alias("n")))
+    last = cut_lineage(pairs.groupBy("one").agg(whole.alias("n")).join(ones, "one", "left"))
+    of_pairs = sums(every.join(pairs, ["two", "one"], "left_semi"), ["two", "one"], 2)
+    known = join_groups(pairs.withColumnRenamed("n", "asked"), last, ["one"], pairs.count()).drop("n").withColumnRenamed("asked", "n")
+    known = cut_lineage(known.join(of_pairs, ["two", "one"], "left"))
+    of_triples = sums(every.join(asked, ["three", "two", "one"], "left_semi"), ["three", "two", "one"], 3)
+    known = join_groups(asked.select("three", "two", "one", F.col("n").alias("rows")), known, ["two", "one"], asked.count()).drop("n").withColumnRenamed("rows", "n")
+    known = cut_lineage(known.join(of_triples, ["three", "two", "one"], "left").fillna(0))
+    rows = join_groups(slim, known, ["three", "two", "one"], slim.count()).drop("n")
 
     own = F.col("stopped").cast("int")
     rate = F.lit(float(base))
@@ -138,11 +157,12 @@ def terminal_rates(slim: DataFrame, counts: DataFrame) -> tuple[DataFrame, float
 
 
 def begun_blocks(df: DataFrame, text: str, asked: DataFrame) -> DataFrame:
-    """For each ``shape`` of ``asked`` the blocks of all texts that begin with it and go on."""
+    """For each ``shape`` of ``asked`` (of at most CLOSING_TOKENS tokens) the blocks of all texts that begin with it and go on."""
     block = df.select(F.explode(F.split(F.col(text), "\n\n")).alias("b")).select(F.left("b", F.lit(BLOCK_HEAD)).alias("b")).filter("b <> ''")
     both = F.array(*[F.slice(shapes(plain_end(F.col("b")), capitals), 1, CLOSING_TOKENS + 1) for capitals in (False, True)])
     heads = block.select(F.explode(F.array_distinct(both)).alias("t"))
-    starts = F.filter(F.sequence(F.lit(1), F.lit(CLOSING_TOKENS)), lambda k: k <= F.size("t"))
+    lengths = sorted(r.k for r in asked.select(F.size(F.split("shape", " ")).alias("k")).distinct().collect())
+    starts = F.filter(F.array(*map(F.lit, lengths or [CLOSING_TOKENS])), lambda k: k <= F.size("t"))
     begin = lambda k: F.xxhash64(k, F.array_join(F.slice("t", F.lit(1), k - 1), " "))
     begun = heads.select("t", F.explode(starts).alias("k")).select(begin(F.col("k")).alias("h"), F.element_at("t", F.col("k")).alias("token"), (F.size("t") > F.col("k")).alias("more"))
     lines = asked.select("shape", F.split("shape", " ").alias("t")).select("shape", begin(F.size("t")).alias("h"), F.element_at("t", -1).alias("end"))
@@ -159,14 +179,15 @@ def endings(df: DataFrame, key: str, text: str) -> DataFrame:
     record = plain_end(last_line).rlike(_RECORD) & (F.length(last_line) < F.length("trimmed"))
     rows = rows.withColumn("full", F.when(record, _without_end(F.col("trimmed"), F.length(last_line))).otherwise(F.col("trimmed")))
     tail = F.right("full", F.lit(TAIL))
-    rows = rows.withColumn("mark", F.length(tail) - F.length(F.regexp_replace(tail, _MARK, "")))
+    begun = F.right("full", F.lit(MARK)).rlike(_MARK_BEGIN)
+    rows = rows.withColumn("mark", F.when(begun, F.length(tail) - F.length(F.regexp_replace(tail, _MARK, ""))).otherwise(0))
     bare = F.when(F.col("mark") > 0, _without_end(F.col("full"), F.col("mark"))).otherwise(F.col("full"))
     return rows.select("key", "source", (F.col("mark") > 0).alias("marked"), bare.alias("bare"))
 
 
 def _running(block: Column, previous: Column) -> Column:
     """Whether the last block, or the one before it where that is a short single line, reads as running text."""
-    short = (F.length(block) < 40) & ~block.rlike(r"[\n\t;|]|^[^\p{L}\p{N}]|  ")
+    short = (F.length(block) < 40) & ~block.rlike(r"[\n\t;|]|^[^\p{L}\p{N}]")
     words = F.regexp_extract_all(F.lower(F.when(short, F.concat_ws(" ", previous, block)).otherwise(block)), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))
     common = F.filter(words, lambda w: w.isin(*_function_words()))
     return F.size(common) >= F.greatest(F.lit(1), RUNNING * F.size(words))
@@ -177,23 +198,27 @@ def _function_words() -> list[str]:
 
 
 def described_ends(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Each text's features: its last three shapes (``a``, ``b``, ``c``), whether it is marked, stopped and running, and the shapes of a short last block."""
+    """Each text's features: its last three shapes (``three``, ``two``, ``one``), whether it is marked, stopped and running, and the shapes of a short last block.
+
+    What ends with a sentence's stop reads as running text; elsewhere function words tell.
+    """
     whole = F.substring_index("bare", "\n\n", -1)
     before = F.rtrim(F.left("bare", F.greatest(F.length("bare") - F.length(whole) - 2, F.lit(0))))
     parts = endings(df, key, text).select(
-        "key", "source", "marked", F.xxhash64("bare").alias("content"), (F.length("bare") > 0).alias("any"), (F.length(whole) <= TAIL).alias("short"),
-        F.regexp_replace(plain_end(F.right("bare", F.lit(TAIL))), _CLOSERS, "").alias("end"), plain_end(whole).alias("block"), F.right(F.substring_index(before, "\n\n", -1), F.lit(TAIL)).alias("previous"),
+        "key", "source", "marked", F.xxhash64("bare").alias("content"), (F.length("bare") > 0).alias("any"), (F.length(whole) <= BLOCK_HEAD).alias("short"),
+        plain_end(F.right("bare", F.lit(TAIL))).alias("end"), whole.alias("block"), F.right(F.substring_index(before, "\n\n", -1), F.lit(TAIL)).alias("previous"),
     )
     named = lambda c: F.when(F.size(c) <= CLOSING_TOKENS, F.array_join(c, " "))
-    abbreviated = F.col("end").rlike(_ABBREVIATED)
-    stopped = F.col("end").rlike(r"[.!?\x{037E}]\s*\z") & ~abbreviated
-    tokens = numbered(shapes(F.when(abbreviated, F.left("end", F.length("end") - 1)).otherwise(F.col("end"))))
+    parts = parts.withColumn("end", F.rtrim(F.when(F.right(F.rtrim("end"), F.lit(1)).isin(*_CLOSING), F.regexp_replace("end", _CLOSERS, "")).otherwise(F.col("end"))))
+    abbreviated = F.right("end", F.lit(ABBREVIATION)).rlike(_ABBREVIATED)
+    stopped = F.right("end", F.lit(1)).isin(*_STOPS) & ~abbreviated
+    tokens = padded(shapes(F.when(abbreviated, F.left("end", F.length("end") - 1)).otherwise(F.col("end"))))
     rows = parts.select(
-        "key", "source", "marked", "content", "any", F.coalesce(stopped, F.lit(False)).alias("stopped"), F.concat(F.array(F.lit(0).cast("long"), F.lit(0).cast("long")), tokens).alias("t"),
-        *[F.when(F.col("short"), shapes(F.col("block"), capitals)).alias(name) for capitals, name in ((False, "block_shape"), (True, "block_words"))],
-        (F.col("short") & F.col("block").rlike(_CLOSED)).alias("closed"), _running(F.col("block"), F.col("previous")).alias("running"),
+        "key", "source", "marked", "content", "any", F.coalesce(stopped, F.lit(False)).alias("stopped"), F.when(F.size(tokens) > 2, F.slice(tokens, -3, 3)).alias("t"),
+        *[F.when(F.col("short"), shapes(plain_end(F.col("block")), capitals)).alias(name) for capitals, name in ((False, "block_shape"), (True, "block_words"))],
+        (F.col("short") & plain_end(F.col("block")).rlike(_CLOSED)).alias("closed"), F.when(stopped & ~F.col("marked"), True).otherwise(_running(plain_end(F.col("block")), F.col("previous"))).alias("running"),
     )
-    last = [F.when(F.size("t") > 2, F.try_element_at("t", F.lit(i))).alias(n) for i, n in ((-3, "a"), (-2, "b"), (-1, "c"))]
+    last = [F.when(F.col("t").isNotNull(), k).alias(n) for k, n in zip(gram_keys(*[F.get("t", i) for i in range(3)]), ("three", "two", "one"))]
     return cut_lineage(rows.select("key", "source", "marked", "stopped", "content", "any", "running", "closed", *last, named("block_shape").alias("shape"), named("block_words").alias("wording")))
 
 
@@ -220,7 +245,7 @@ def cut_texts(df: DataFrame, key: str = "doc_id", text: str = "text", trigrams:
     slim = described_ends(df, key, text)
     closing = closing_lines(slim, df, text)
     rated, base = terminal_rates(slim, cut_lineage(trigram_counts(df, text)))
-    rated = rated.unionByName(slim.filter("c IS NULL").withColumns({"rate": F.lit(None).cast("double"), "evidence": F.lit("none")}))
+    rated = rated.unionByName(slim.filter("one IS NULL").withColumns({"rate": F.lit(None).cast("double"), "evidence": F.lit("none")}))
     by_shape, by_wording = closing.withColumn("closing_shape", F.lit(True)), closing.select(F.col("shape").alias("wording"), F.lit(True).alias("closing_words"))
     lined = rated.join(F.broadcast(by_shape), "shape", "left").join(F.broadcast(by_wording), "wording", "left")
     lined = lined.withColumn("closing", F.coalesce("closing_shape", "closing_words", "closed", F.lit(False))).fillna(False, ["marked", "any", "running"])
