@@ -88,6 +88,11 @@ def _(spark, d):
     return repetition.Repetition(table(spark, d, "documents")).flagged()
 
 
+@query("p4_report")
+def _(spark, d):
+    return repetition.Repetition(table(spark, d, "documents")).report()
+
+
 @query("p5_found")
 def _(spark, d):
     return tokens.misestimated(table(spark, d, "accepted"))

@@ -2,10 +2,12 @@
 
 The measure of a text is the share of its words that lie in a run of ``RUN`` or more words that
 occurred earlier in the text; beside it stand the shares in repeated sentences and paragraphs.
-A cutoff on the measure is chosen for each stratum on a labelled holdout: from the strictest
-cutoff downwards each is kept while the exact binomial upper bound of the rate at which it
-rejects ordinary texts stays below the allowed risk (a fixed sequence of tests), the error
-probability being divided among the strata (Bonferroni).
+The cutoff on the measure is learned for each stratum on a labelled holdout: passages of known
+length are planted a second time into held-out texts freed of repetition, and the label is the
+planted share, not the measure. From the strictest cutoff downwards each is kept while the
+exact binomial upper bound of the rate at which it rejects texts that are no cases stays below
+the allowed risk (a fixed sequence of tests), the error probability being divided among the
+strata (Bonferroni). The lowest cutoff kept decides.
 """
 
 from __future__ import annotations
@@ -15,7 +17,6 @@ from math import exp, inf, lgamma, log
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +26,16 @@ from corpusloom.session import arrow_function, cut_lineage
 
 #: Words of a run that counts as repeated.
 RUN = 10
-#: A text with at least this share of repeated words is repetitive; below ORDINARY it is ordinary.
+#: Planted share from which a text is a case, and below which it is an ordinary one.
 REPETITIVE, ORDINARY = 0.40, 0.20
-#: Expected rows of the labelled holdout, the allowed rate of false rejection, and the error probability for all strata.
+#: Expected texts of the holdout, the allowed rate of false rejection, and the error probability for all strata.
 HOLDOUT, RISK, ERROR = 8000, 0.02, 0.05
 #: Cutoffs in the order in which they are tested.
-CUTOFFS = tuple(round(0.40 - 0.01 * i, 2) for i in range(21))
-_RETURNS = "struct<words: long, repeated_share: double, sentence_share: double, paragraph_share: double, label: string>"
+CUTOFFS = tuple(round(0.60 - 0.01 * i, 2) for i in range(56))
+#: Cutoff of a stratum, and of all pooled, where no cutoff can be shown to keep the risk.
+STRICTEST = CUTOFFS[0]
+_RETURNS = "struct<words: long, repeated_share: double, sentence_share: double, paragraph_share: double>"
+_HELD = "struct<planted: double, label: string, score: double>"
 _STOPS = [ord(c) for c in ".!?"]
 
 
@@ -73,8 +77,8 @@ def shares(cp: np.ndarray, offs: np.ndarray, run: int = RUN) -> tuple[np.ndarray
     return tuple(out)
 
 
-def exact_share(text: str, run: int = RUN) -> float:
-    """The share of words in repeated runs, by comparing the runs themselves."""
+def repeated_words(text: str, run: int = RUN) -> tuple[list[str], np.ndarray]:
+    """The words of a text, and which lie in repeated runs, by comparing the runs themselves."""
     folded = "".join(c for c in text.lower() if visible()[ord(c)])
     found = re.findall(r"[^\W_]+", folded)
     seen: set[tuple[str, ...]] = set()
@@ -84,29 +88,75 @@ def exact_share(text: str, run: int = RUN) -> float:
         if part in seen:
             covered[i : i + run] = True
         seen.add(part)
+    return found, covered
+
+
+def exact_share(text: str, run: int = RUN) -> float:
+    """The share of words in repeated runs, by comparing the runs themselves."""
+    found, covered = repeated_words(text, run)
     return float(covered.mean()) if found else 0.0
 
 
-def label_of(text: str) -> str:
-    """The holdout label of a text by its exact share."""
-    share = exact_share(text)
+def planted(text: str, seed: int) -> tuple[str, float] | None:
+    """A text of known repetition: its words without repeated runs, and passages of them once more; with the planted share.
+
+    A third of the seeds plant nothing, a third up to the share of an ordinary text, the others
+    that of a case. None if the text is too short for a passage of two runs.
+    """
+    found, covered = repeated_words(text)
+    own = [w for w, c in zip(found, covered) if not c]
+    rng = np.random.default_rng(seed)
+    kind = rng.integers(3)
+    if len(own) < 5 * RUN:
+        return None
+    if kind == 0:
+        return " ".join(own), 0.0
+    low, high = (2 * RUN / (len(own) + 2 * RUN), ORDINARY) if kind == 1 else (REPETITIVE, 0.85)
+    if low >= high:
+        return None
+    share = rng.uniform(low, high)
+    left = int(len(own) * share / (1 - share))
+    out, added = list(own), 0
+    while left >= RUN:
+        n = min(left, len(own))
+        at = int(rng.integers(len(own) - n + 1))
+        # A word of its own keeps the passage from running on from what stands before it.
+        out += [f"planted{seed % 997}x{added}", *own[at : at + n]]
+        added += n
+        left -= n
+    return " ".join(out), added / len(out)
+
+
+def label_of(share: float) -> str:
+    """The label of a planted share."""
     return "repetitive" if share >= REPETITIVE else "ordinary" if share < ORDINARY else "between"
 
 
-def _measure(texts: pa.Array, labelled: pa.Array) -> pa.Array:
+def _measure(texts: pa.Array) -> pa.Array:
     parts = [shares(cp, offs) for cp, offs in blocks(texts)]
     columns = [pa.array(np.concatenate([np.zeros(0, t), *(p[k] for p in parts)]).astype(t)) for k, t in enumerate((np.int64, *[np.float64] * 3))]
-    labels = [label_of(t) if x and t is not None else None for t, x in zip(texts.to_pylist(), labelled.to_pylist())] if pc.any(labelled).as_py() else [None] * len(texts)
-    return pa.StructArray.from_arrays([*columns, pa.array(labels, pa.string())], ["words", "repeated_share", "sentence_share", "paragraph_share", "label"])
+    return pa.StructArray.from_arrays(columns, ["words", "repeated_share", "sentence_share", "paragraph_share"])
+
+
+def repetition(spark: SparkSession, text: str) -> Column:
+    """Struct of words and repeated shares."""
+
+    def measure(texts: pa.Array) -> pa.Array:
+        return _measure(texts)
 
+    return arrow_function(spark, measure, _RETURNS)(F.col(text))
 
-def repetition(spark: SparkSession, text: str, labelled: Column) -> Column:
-    """Struct of words, repeated shares, and the label where the row belongs to the holdout."""
 
-    def measure(texts: pa.Array, flags: pa.Array) -> pa.Array:
-        return _measure(texts, flags)
+def labelled(spark: SparkSession, text: str, seed: Column) -> Column:
+    """Struct of a holdout text's planted share, its label and the measure of the text with the planted passage; null where none fits."""
 
-    return arrow_function(spark, measure, _RETURNS)(F.col(text), labelled)
+    def plant(texts: pa.Array, seeds: pa.Array) -> pa.Array:
+        made = [planted(t, abs(n)) if t else None for t, n in zip(texts.to_pylist(), seeds.to_pylist())]
+        scores = _measure(pa.array([m[0] if m else None for m in made], pa.string())).field("repeated_share").to_pylist()
+        rows = [{"planted": m[1], "label": label_of(m[1]), "score": x} if m else None for m, x in zip(made, scores)]
+        return pa.array(rows, pa.struct([("planted", pa.float64()), ("label", pa.string()), ("score", pa.float64())]))
+
+    return arrow_function(spark, plant, _HELD)(F.col(text), seed)
 
 
 def upper_bound(rejected: int, n: int, error: float) -> float:
@@ -143,35 +193,51 @@ def choose_cutoffs(counts: dict[str, dict[float, int]], ordinary: dict[str, int]
 class Repetition:
     """Repetition of all texts of a table, with cutoffs for the strata of its languages.
 
+    The holdout is a sample of about ``holdout`` rows by hash, in a smaller table each row several
+    times with other passages; all rows are measured and judged.
     Strata whose holdout is too small for any cutoff to be kept take the pooled cutoff, and where
-    that is not kept either, the definition's ``REPETITIVE``. Null and empty texts have no words
-    and shares of 0. Repeated rows stay; an empty table has no rows and no strata.
+    that is not kept either, the strictest. Null and empty texts have no words and shares of 0.
+    Repeated rows stay; an empty table has no rows and no strata.
     """
 
     def __init__(self, df: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang", holdout: int = HOLDOUT) -> None:
         spark = df.sparkSession
-        every = max(1, df.count() // holdout)
+        size = df.count()
+        every, times = max(1, size // holdout), max(1, holdout // max(size, 1))
         rows = df.select(F.col(key).alias(key), language_label(language).alias("stratum"), F.col(text).alias("text"))
-        flag = F.pmod(F.xxhash64(F.lit("holdout"), key, "text"), F.lit(every)) == 0
-        measured = rows.select(key, "stratum", repetition(spark, "text", flag).alias("r"))
-        self.key = key
-        self.measured = cut_lineage(measured.select(key, "stratum", "r.*"))
-        rejected = [F.count_if(F.col("repeated_share") >= c).alias(str(i)) for i, c in enumerate(CUTOFFS)]
-        held = self.measured.filter("label = 'ordinary'").groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *rejected).collect()
+        place = F.xxhash64(F.lit("holdout"), key, "text")
+        sample = rows.filter(F.pmod(place, F.lit(every)) == 0).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(times))))
+        sample = sample.select("stratum", labelled(spark, "text", F.xxhash64(F.lit("planted"), place, "n")).alias("h"))
+        self.holdout = cut_lineage(sample.filter("h IS NOT NULL").select("stratum", "h.*"))
+        rejected = [F.count_if(F.col("score") >= c).alias(str(i)) for i, c in enumerate(CUTOFFS)]
+        held = self.holdout.filter("label = 'ordinary'").groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *rejected).collect()
         counts = {r.stratum: {c: r[str(i)] for i, c in enumerate(CUTOFFS)} for r in held}
         ordinary = {r.stratum: r.n for r in held}
         pool = {c: sum(v[c] for v in counts.values()) for c in CUTOFFS}
         chosen = choose_cutoffs({**counts, "": pool}, {**ordinary, "": sum(ordinary.values())})
-        self.pooled = chosen.pop("") if chosen[""] < inf else REPETITIVE
+        pooled = chosen.pop("")
+        self.pooled = pooled if pooled < inf else STRICTEST
         self.cutoffs = {k: v if v < inf else self.pooled for k, v in chosen.items()}
+        self.key = key
+        self.measured = rows.select(key, "stratum", repetition(spark, "text").alias("r")).select(key, "stratum", "r.*")
 
     def flagged(self) -> DataFrame:
         """All rows with their cutoff and whether their repeated share reaches it."""
         cutoff = F.lit(self.pooled)
         for stratum, value in self.cutoffs.items():
             cutoff = F.when(F.col("stratum") == stratum, value).otherwise(cutoff)
-        return self.measured.drop("label").withColumn("cutoff", cutoff).withColumn("rejected", F.col("repeated_share") >= F.col("cutoff"))
+        return self.measured.withColumn("cutoff", cutoff).withColumn("rejected", F.col("repeated_share") >= F.col("cutoff"))
+
+    def report(self) -> DataFrame:
+        """A line for each stratum: its cutoff, held-out texts by label, those rejected, and the upper bound of false rejection."""
+        lines = self.holdout.groupBy("stratum", "label").agg(F.count(F.lit(1)).alias("texts"), F.collect_list("score").alias("scores")).collect()
+        rows = []
+        for r in sorted(lines, key=lambda r: (r.stratum, r.label)):
+            cutoff = self.cutoffs.get(r.stratum, self.pooled)
+            hit = sum(s >= cutoff for s in r.scores)
+            rows.append((r.stratum, float(cutoff), r.label, r.texts, hit, upper_bound(hit, r.texts, ERROR / (len(self.cutoffs) + 1))))
+        return self.holdout.sparkSession.createDataFrame(rows, "stratum string, cutoff double, label string, texts long, rejected long, upper_bound double")
 
     def repetitive(self) -> DataFrame:
-        """Keys of the rows that the cutoffs reject and whose share is that of a repetitive text."""
-        return self.flagged().filter(F.col("rejected") & (F.col("repeated_share") >= REPETITIVE) & F.col(self.key).isNotNull()).select(self.key).distinct()
+        """Keys of the rows that the cutoffs reject."""
+        return self.flagged().filter(F.col("rejected") & F.col(self.key).isNotNull()).select(self.key).distinct()

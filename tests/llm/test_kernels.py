@@ -57,6 +57,16 @@ def test_repeated_share_equals_the_exact_one(parts):
     assert abs(out[1][0] - repetition.exact_share(text)) < 1e-12
 
 
+def test_planted_shares_are_what_is_measured():
+    text = " ".join(f"w{k}" for k in range(300)) + ". " + " ".join(f"w{k}" for k in range(40, 90))
+    kinds = set()
+    for seed in range(60):
+        made, share = repetition.planted(text, seed)
+        kinds.add(repetition.label_of(share))
+        assert abs(repetition.exact_share(made) - share) < 0.02
+    assert kinds == {"ordinary", "repetitive"} and repetition.planted("too short", 1) is None
+
+
 def test_repetition_of_empty_and_null():
     (out,) = [repetition.shares(cp, offs) for cp, offs in kernel.blocks(pa.array(["", None, "a"]))]
     assert [x.tolist() for x in out] == [[0, 0, 1], [0, 0, 0], [0, 0, 0], [0, 0, 0]]
@@ -75,7 +85,7 @@ def test_upper_bound_is_exact(rejected, n):
 def test_cutoffs_stop_at_the_first_failure_and_are_shared_out():
     counts = {"a": dict.fromkeys(repetition.CUTOFFS, 0), "b": {c: 0 if c >= 0.35 else 50 for c in repetition.CUTOFFS}, "c": {}}
     got = repetition.choose_cutoffs(counts, {"a": 2000, "b": 2000, "c": 5})
-    assert got["a"] == 0.2 and got["b"] == 0.35 and got["c"] == float("inf")
+    assert got["a"] == repetition.CUTOFFS[-1] and got["b"] == 0.35 and got["c"] == float("inf")
 
 
 def _brute_sainte_lague(weights, seats, caps):

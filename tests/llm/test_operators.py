@@ -80,6 +80,15 @@ def test_mixture(spark):
     assert {r.source for r in mix.short().collect()} == {"small-x", "none"}
     assert report["none"].actual_tokens == 0 and report["small-x"].most_copies == 2 and report["big"].most_copies <= 3
     assert abs(sum(r.actual_tokens for r in report.values()) - mix.total) <= 100
+    for seed in range(4):  # a text without tokens at the head of the order is no copy too many
+        few = mixing.Mixture(docs(spark, [(1, "", "big"), (2, None, "big"), (3, "a few words", "big"), (4, "", "big")]), spark.createDataFrame([("big", 1.0, 2)], targets.schema), seed=seed)
+        assert max(r.copies for r in few.documents().collect()) <= 2
+    many = mixing.Mixture(docs(spark, rows), targets, block_tokens=64, shard_rows=3)
+    got = {r.source: r for r in many.report().collect()}
+    assert got["big"].most_copies <= 3 and abs(got["big"].actual_tokens - got["big"].planned_tokens) <= 16 * 100 and got["small-x"].actual_tokens <= 2 * 4 * 81
+    assert {r.source for r in many.short().collect()} == {"small-x", "none"}
+    again = {tuple(r) for r in mixing.Mixture(docs(spark, rows).repartition(5), targets, block_tokens=64, shard_rows=3).documents().collect()}
+    assert again == {tuple(r) for r in many.documents().collect()}
     empty = mixing.Mixture(docs(spark, rows).limit(0), targets)
     assert empty.documents().collect() == [] and {r.source for r in empty.short().collect()} == set()
 
@@ -116,12 +125,28 @@ def test_quality_and_not_prose(spark):
 def test_repetition(spark):
     once = " ".join(f"word{i}" for i in range(60))
     df = docs(spark, [(1, once), (2, f"{once}. {once.upper()}!"), (2, f"{once}. {once.upper()}!"), (3, None), (4, ""), (5, "a " * 5)])
-    found = repetition.Repetition(df)
+    found = repetition.Repetition(df, holdout=2000)
     assert [r.doc_id for r in found.repetitive().collect()] == [2]
     assert found.flagged().filter("doc_id = 2").first().repeated_share == pytest.approx(0.5)
     assert repetition.Repetition(df.limit(0)).repetitive().collect() == []
 
 
+def test_learned_cutoffs_decide(spark, monkeypatch):
+    """The rows found are those that reach the cutoff learned on the holdout, nothing else."""
+    long = [" ".join(f"w{i}x{k}" for k in range(200)) for i in range(40)]
+    some = [f"{t} {' '.join(t.split()[: 28])}" for t in long[:5]]  # 12 % repeated: ordinary
+    many = [f"{t} {t}" for t in long[5:10]]
+    df = docs(spark, list(enumerate(long + some + many)))
+    found = repetition.Repetition(df, holdout=3000)
+    assert {r.doc_id for r in found.repetitive().collect()} == set(range(45, 50))
+    assert set(found.cutoffs.values()) == {found.cutoffs["en"]} and 0.15 < found.cutoffs["en"] < 0.4
+    report = {r.label: r for r in found.report().collect()}
+    assert report["ordinary"].upper_bound <= repetition.RISK and report["repetitive"].rejected == report["repetitive"].texts > 500
+    monkeypatch.setattr(repetition, "CUTOFFS", (0.6, 0.58))
+    assert repetition.Repetition(df, holdout=3000).repetitive().collect() == []
+    assert repetition.Repetition(df.limit(2), holdout=1).cutoffs in ({}, {"en": repetition.STRICTEST})
+
+
 SFT = "id string, direction string, policy_group string, messages array<struct<role: string, content: string>>, split string, component string"
 
 
@@ -186,7 +211,7 @@ def test_trigrams_decide(spark):
 
 def test_trigrams_count_blocks(spark):
     df = docs(spark, [(1, "One two.\n\nthree four.\n\nfive six.\n\nseven"), (2, None), (3, "")])
-    assert truncation.trigram_counts(df).agg(F.sum("n"), F.sum("ends")).first()[:] == (3 + 3 + 2 + 0, 2)
+    assert truncation.trigram_counts(df).agg(F.sum("n"), F.sum("ends")).first()[:] == (2 + 3 + 2, 2)  # by block: the first shape of a text ends no trigram, what stands before the last break is left out
 
 
 def test_names():
