@@ -1,17 +1,21 @@
 """Samples whose strata match target proportions, by min-cost flow on the counts of the strata.
 
-The network has a node for each type, each stratum and each jurisdiction. Arcs from the source
-to the types and from the jurisdictions to the sink carry the margins of the targets, the arc
-of a stratum its availability; a slack arc beside it, dearer than all others, takes what the
-stratum lacks. What lacks is then drawn from other strata at the least cost for the margins.
-The driver holds the strata of the target table only.
+The networks have a node for each type, each stratum and each jurisdiction. In the first, each
+stratum asks for all it needs; the arc beside its availability is slack, dearer than all others,
+and exposes what the stratum lacks. In the second exactly the rows of the sample flow: arcs from
+the source to the types and from the jurisdictions to the sink carry the margins, lower bounds
+the floors, and what a stratum can't give is drawn from others at the least cost for the margins.
+The quotas of the strata are drawn by controlled random rounding: whole numbers beside the exact
+shares, which they equal on average, with margins and total kept. The driver holds the strata of
+the target table only.
 """
 
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 from fractions import Fraction
-from math import ceil, inf
+from math import ceil, floor, inf
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,10 +23,10 @@ from pyspark.sql import functions as F
 from corpusloom.functions.labels import jurisdiction_label, type_label
 from corpusloom.session import cut_lineage
 
-#: Costs of a row outside its stratum, outside a margin, and of a row that is not there.
-OFF_STRATUM, OFF_MARGIN, SLACK = 1, 10, 1000
-#: Rows in a bucket of the seeded order, and the most buckets of a stratum.
-BUCKET_ROWS, MOST_BUCKETS = 50_000, 65_536
+#: Costs of a row outside its stratum, outside a margin, of a row that is not there, and of a row that a floor lacks.
+OFF_STRATUM, OFF_MARGIN, SLACK, OFF_FLOOR = 1, 10, 1000, 100_000
+#: Rows in a bucket of the seeded order of a stratum.
+BUCKET_ROWS = 50_000
 
 
 class Network:
@@ -72,41 +76,105 @@ class Network:
         return sent
 
 
-def plan_quotas(needs: dict[tuple[str, str], int], available: dict[tuple[str, str], int]) -> dict[tuple[str, str], tuple[int, int]]:
-    """Rows to draw and rows lacking for each stratum (type, jurisdiction)."""
+Cell = tuple[str, str]
+
+
+def rounded(shares: dict[Cell, Fraction], seed: int) -> dict[Cell, int]:
+    """Whole numbers beside ``shares`` (whose total is whole), each equal to its share on average, with every margin rounded to a neighbour.
+
+    Cells beside the table fill its margins to whole numbers. While cells are broken, a cycle of
+    them, in turn along rows and columns, is shifted by the most that one way allows; the way is
+    drawn such that no cell changes on average.
+    """
+    rng = random.Random(seed)
+    table: dict[tuple, Fraction] = {(("t", t), ("j", j)): Fraction(x) for (t, j), x in shares.items()}
+    for side in (0, 1):
+        sums: dict = defaultdict(Fraction)
+        for cell, x in list(table.items()):
+            if cell[side][0] == "tj"[side]:
+                sums[cell[side]] += x
+        for node, x in sums.items():
+            fill = (node, ("j*", "")) if side == 0 else (("t*", ""), node)
+            table[fill] = table.get(fill, Fraction(0)) + ceil(x) - x
+
+    def cycle() -> list[tuple] | None:
+        near: dict = defaultdict(list)
+        for cell, x in table.items():
+            if x.denominator > 1:
+                for node in cell:
+                    near[node].append(cell)
+        if not near:
+            return None
+        node = min(near)
+        path, seen = [], {node: 0}
+        while True:
+            cell = next(c for c in near[node] if not path or c != path[-1])
+            node = cell[1] if cell[0] == node else cell[0]
+            path.append(cell)
+            if node in seen:
+                return path[seen[node] :]
+            seen[node] = len(path)
+
+    while ring := cycle():
+        up, down = ring[::2], ring[1::2]
+        more = min([ceil(table[c]) - table[c] for c in up] + [table[c] - floor(table[c]) for c in down])
+        less = min([table[c] - floor(table[c]) for c in up] + [ceil(table[c]) - table[c] for c in down])
+        step = more if rng.random() < less / (more + less) else -less
+        for c in up:
+            table[c] += step
+        for c in down:
+            table[c] -= step
+    return {(t, j): int(table[("t", t), ("j", j)]) for t, j in shares}
+
+
+def lacking_rows(needs: dict[Cell, int], available: dict[Cell, int]) -> dict[Cell, int]:
+    """What each stratum (type, jurisdiction) lacks: the flow through its slack arc."""
     rows, columns = defaultdict(int), defaultdict(int)
     for (t, j), n in needs.items():
         rows[t] += n
         columns[j] += n
-
     net = Network()
     for t, n in rows.items():
         net.add("source", ("t", t), n, 0)
     for j, n in columns.items():
         net.add(("j", j), "sink", n, 0)
-    real, slack = {}, {}
+    slack = {}
     for cell, n in needs.items():
         net.add(("t", cell[0]), cell, n, 0)
-        real[cell] = net.add(cell, ("j", cell[1]), available.get(cell, 0), 0)
+        net.add(cell, ("j", cell[1]), available.get(cell, 0), 0)
         slack[cell] = net.add(cell, ("j", cell[1]), n, SLACK)
     net.send("source", "sink", sum(needs.values()))
-    drawn, lacking = {c: net.flow(k) for c, k in real.items()}, {c: net.flow(k) for c, k in slack.items()}
-
-    again = Network()
-    free_rows, free_columns = defaultdict(int), defaultdict(int)
-    for (t, j), n in lacking.items():
-        free_rows[t] += n
-        free_columns[j] += n
-    total = sum(lacking.values())
-    for t in rows:
-        again.add("source", ("t", t), free_rows[t], 0)
-        again.add("source", ("t", t), total, OFF_MARGIN)
-    for j in columns:
-        again.add(("j", j), "sink", free_columns[j], 0)
-        again.add(("j", j), "sink", total, OFF_MARGIN)
-    more = {c: again.add(("t", c[0]), ("j", c[1]), max(0, available.get(c, 0) - drawn[c]), OFF_STRATUM) for c in needs}
-    again.send("source", "sink", total)
-    return {c: (drawn[c] + again.flow(more[c]), lacking[c]) for c in needs}
+    return {c: net.flow(k) for c, k in slack.items()}
+
+
+def plan_draw(quotas: dict[Cell, int], floors: dict[Cell, int], available: dict[Cell, int]) -> dict[Cell, int]:
+    """Rows to draw from each stratum: as many in all as the quotas say, or as the floors if they are more, where that many are there.
+
+    No stratum that has them gives fewer than its floor; beyond the floors quotas and margins of
+    the quotas are kept as well as can be.
+    """
+    rows, columns = defaultdict(int), defaultdict(int)
+    for (t, j), n in quotas.items():
+        rows[t] += n
+        columns[j] += n
+    net = Network()
+    whole = sum(available.get(c, 0) for c in quotas)
+    for t, n in rows.items():
+        net.add("source", ("t", t), n, 0)
+        net.add("source", ("t", t), whole, OFF_MARGIN)
+    for j, n in columns.items():
+        net.add(("j", j), "sink", n, 0)
+        net.add(("j", j), "sink", whole, OFF_MARGIN)
+    drawn = {}
+    for cell, quota in quotas.items():
+        there = available.get(cell, 0)
+        least = min(floors.get(cell, 0), there)
+        net.add(("t", cell[0]), cell, least, -OFF_FLOOR)
+        net.add(("t", cell[0]), cell, max(0, min(quota, there) - least), 0)
+        net.add(("t", cell[0]), cell, there, OFF_STRATUM)
+        drawn[cell] = net.add(cell, ("j", cell[1]), there, 0)
+    net.send("source", "sink", min(whole, max(sum(quotas.values()), sum(min(f, available.get(c, 0)) for c, f in floors.items()))))
+    return {c: net.flow(k) for c, k in drawn.items()}
 
 
 def distinct_records(df: DataFrame) -> DataFrame:
@@ -122,9 +190,11 @@ def distinct_records(df: DataFrame) -> DataFrame:
 class StratifiedSample:
     """A sample of ``fraction`` of the records with the shares of ``targets``.
 
-    A stratum needs the larger of ``min_rows`` and ``target_share`` of the sample's size; what the
-    strata lack is drawn from others as near to the margins as can be. Null shares and floors are 0.
-    An empty table gives an empty sample in which every stratum with a floor falls short.
+    The sample has exactly that size, rounded, unless the floors ask for more or the strata hold
+    less. A stratum needs the larger of ``min_rows`` and ``target_share`` of the size; what the
+    strata lack is drawn from others as near to the margins as can be. Null shares and floors are
+    0; lines of one stratum spelled differently are one stratum. An empty table gives an empty
+    sample in which every stratum with a floor falls short.
     """
 
     def __init__(self, df: DataFrame, targets: DataFrame, fraction: Fraction = Fraction(1, 5), seed: int = 42) -> None:
@@ -134,13 +204,23 @@ class StratifiedSample:
         counts = {(r.type, r.jurisdiction): r.n for r in self.records.join(F.broadcast(targets.select(type_label("type").alias("type"), jurisdiction_label("jurisdiction").alias("jurisdiction")).distinct()), ["type", "jurisdiction"]).groupBy("type", "jurisdiction").agg(F.count(F.lit(1)).alias("n")).collect()}
         total = self.records.count()
         size = fraction * total
-        wanted = {(r.t, r.j): max(Fraction(r.min_rows or 0), Fraction(repr(float(r.target_share or 0))) * size) for r in rows}
-        self.plan = plan_quotas({c: ceil(x) for c, x in wanted.items()}, counts)
-        self.lines = [(r.type, r.jurisdiction, float(r.target_share or 0), int(r.min_rows or 0), float(wanted[r.t, r.j]), counts.get((r.t, r.j), 0), *self.plan[r.t, r.j]) for r in rows]
+        shares, floors = defaultdict(Fraction), defaultdict(int)
+        for r in rows:
+            shares[r.t, r.j] += Fraction(repr(float(r.target_share or 0)))
+            floors[r.t, r.j] = max(floors[r.t, r.j], r.min_rows or 0)
+        needs = {c: max(Fraction(floors[c]), x * size) for c, x in shares.items()}
+        lacking = lacking_rows({c: ceil(x) for c, x in needs.items()}, counts)
+        weight = sum(shares.values())
+        quotas = rounded({c: x * round(size) / weight if weight else Fraction(0) for c, x in shares.items()}, seed)
+        self.plan = plan_draw(quotas, floors, counts)
+        self.lines = [
+            (r.type, r.jurisdiction, float(r.target_share or 0), int(r.min_rows or 0), float(needs[r.t, r.j]), quotas[r.t, r.j], counts.get((r.t, r.j), 0), self.plan[r.t, r.j], lacking[r.t, r.j])
+            for r in rows
+        ]
 
     def report(self) -> DataFrame:
-        """A line for each target: rows needed, available, drawn and lacking."""
-        return self.spark.createDataFrame(self.lines, "type string, jurisdiction string, target_share double, min_rows long, needed_rows double, available_rows long, drawn_rows long, lacking_rows long")
+        """A line for each target: rows needed, the drawn quota, rows available, drawn and lacking."""
+        return self.spark.createDataFrame(self.lines, "type string, jurisdiction string, target_share double, min_rows long, needed_rows double, quota_rows long, available_rows long, drawn_rows long, lacking_rows long")
 
     def short(self) -> DataFrame:
         """Targets, as spelled, whose records do not suffice."""
@@ -148,16 +228,16 @@ class StratifiedSample:
 
     def sample(self) -> DataFrame:
         """source_file, source_row, type and jurisdiction of the drawn records, the first of each stratum in a seeded order."""
-        quotas = self.spark.createDataFrame([(*c, q) for c, (q, _) in self.plan.items()], "type string, jurisdiction string, quota long")
-        most = max([x[5] for x in self.lines], default=0)
-        buckets = min(MOST_BUCKETS, max(1, -(-most // BUCKET_ROWS)))
+        quotas = self.spark.createDataFrame([(*c, q) for c, q in self.plan.items()], "type string, jurisdiction string, quota long")
+        most = max([x[6] for x in self.lines], default=0)
+        buckets = max(1, -(-most // BUCKET_ROWS))
         priority = F.xxhash64(F.lit(self.seed), "source_file", "source_row")
         place = F.floor((priority.cast("double") / 2.0**64 + 0.5) * buckets).cast("int")
         ranked = self.records.join(F.broadcast(quotas), ["type", "jurisdiction"]).withColumns({"priority": priority, "bucket": F.least(place, F.lit(buckets - 1))})
         sizes = ranked.groupBy("type", "jurisdiction", "bucket", "quota").agg(F.count(F.lit(1)).alias("n"))
         below = F.sum("n").over(Window.partitionBy("type", "jurisdiction").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
         room = sizes.select("type", "jurisdiction", "bucket", "n", (F.col("quota") - F.coalesce(below, F.lit(0))).alias("room")).filter("room > 0")
-        open_rows = ranked.join(F.broadcast(room), ["type", "jurisdiction", "bucket"])
+        open_rows = ranked.join(room, ["type", "jurisdiction", "bucket"])
         whole, edge = open_rows.filter("n <= room"), open_rows.filter("n > room")
         order = Window.partitionBy("type", "jurisdiction", "bucket").orderBy("priority", "source_file", "source_row")
         names = ["source_file", "source_row", "type", "jurisdiction"]

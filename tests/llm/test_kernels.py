@@ -137,20 +137,45 @@ def test_bm25_prefers_shared_rare_words():
     assert scores[2] > scores[1] and scores[2] > scores[3] and scores[4] == 0
 
 
-def _best_flow(needs, available):
-    """The least lacking rows, by trying all draws."""
-    return sum(max(0, n - available.get(c, 0)) for c, n in needs.items())
+CELLS = st.dictionaries(st.tuples(st.sampled_from("abc"), st.sampled_from("xyz")), st.tuples(st.integers(0, 9), st.integers(0, 12), st.integers(0, 6)), min_size=1)
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.dictionaries(st.tuples(st.sampled_from("abc"), st.sampled_from("xyz")), st.tuples(st.integers(0, 9), st.integers(0, 12)), min_size=1))
-def test_flow_exposes_each_shortfall_and_fills_it_elsewhere(cells):
-    needs, available = {c: n for c, (n, _) in cells.items()}, {c: a for c, (_, a) in cells.items()}
-    plan = flow.plan_quotas(needs, available)
-    assert {c: lacking for c, (_, lacking) in plan.items()} == {c: max(0, n - available[c]) for c, n in needs.items()}
-    assert all(drawn <= available[c] for c, (drawn, _) in plan.items())
-    assert sum(d for d, _ in plan.values()) == min(sum(needs.values()), sum(available.values()))
-    assert sum(x for _, x in plan.values()) == _best_flow(needs, available)
+@given(CELLS)
+def test_flow_exposes_each_shortfall(cells):
+    needs, available = {c: n for c, (n, _, _) in cells.items()}, {c: a for c, (_, a, _) in cells.items()}
+    assert flow.lacking_rows(needs, available) == {c: max(0, n - available[c]) for c, n in needs.items()}
+
+
+@settings(max_examples=150, deadline=None)
+@given(CELLS)
+def test_draw_keeps_size_floors_and_availability(cells):
+    quotas, available, floors = ({c: x[k] for c, x in cells.items()} for k in range(3))
+    drawn = flow.plan_draw(quotas, floors, available)
+    least = {c: min(floors[c], available[c]) for c in cells}
+    assert all(least[c] <= n <= available[c] for c, n in drawn.items())
+    assert sum(drawn.values()) == min(sum(available.values()), max(sum(quotas.values()), sum(least.values())))
+    if all(floors[c] <= quotas[c] <= available[c] for c in cells):
+        assert drawn == quotas
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.tuples(st.sampled_from("abcd"), st.sampled_from("wxyz")), st.integers(0, 50), min_size=1), st.integers(0, 97), st.integers(0, 9))
+def test_rounding_is_controlled(weights, size, seed):
+    whole = sum(weights.values())
+    shares = {c: Fraction(w * size, whole) if whole else Fraction(0) for c, w in weights.items()}
+    got = flow.rounded(shares, seed)
+    assert sum(got.values()) == sum(shares.values()) and all(abs(got[c] - shares[c]) < 1 for c in shares)
+    for side in (0, 1):
+        for name in {c[side] for c in shares}:
+            exact, made = (sum(x[c] for c in shares if c[side] == name) for x in (shares, got))
+            assert abs(exact - made) < 1
+
+
+def test_rounding_is_right_on_average():
+    shares = {("a", "x"): Fraction(1, 4), ("a", "y"): Fraction(1, 2), ("b", "x"): Fraction(7, 8), ("b", "y"): Fraction(3, 8)}
+    drawn = [flow.rounded(shares, seed) for seed in range(4000)]
+    assert all(abs(sum(d[c] for d in drawn) / 4000 - x) < 0.04 for c, x in shares.items())
 
 
 def test_flow_is_cheapest():

@@ -107,6 +107,9 @@ def test_stratified_sample(spark):
     assert {tuple(r) for r in sample.short().collect()} == {("contracts", "EU"), ("other", "UK")}
     drawn = {(r.type, r.jurisdiction): r["count"] for r in sample.sample().groupBy("type", "jurisdiction").count().collect()}
     assert drawn == {(r.type, r.jurisdiction): r.drawn_rows for r in report.values() if r.drawn_rows}
+    assert sum(drawn.values()) == 30 + 2  # the floors that can be kept are more than a fifth of the 82 records
+    exact = flow.StratifiedSample(raw(spark, rows), targets.withColumn("min_rows", F.lit(1).cast("long")), seed=5)
+    assert exact.sample().count() == 16 == sum(r.quota_rows for r in exact.report().collect())
     again = flow.StratifiedSample(raw(spark, rows).repartition(3), targets).sample()
     assert {tuple(r) for r in again.collect()} == {tuple(r) for r in sample.sample().collect()}
     empty = flow.StratifiedSample(raw(spark, rows).limit(0), targets)
