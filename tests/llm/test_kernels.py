@@ -116,25 +116,57 @@ def test_packing_holds_each_item_once_within_capacity(sizes, capacity):
     assert all(sum(sizes[b]) <= capacity for b in boxes)
 
 
+def corpus_of(edges, terms, freqs):
+    """The counts of the texts alone."""
+    counts = np.bincount(terms.astype(np.int64) & (packing.SLOTS - 1), minlength=packing.SLOTS)
+    return packing.Corpus(len(edges) - 1, freqs.sum() / max(len(edges) - 1, 1), counts)
+
+
 def test_packing_cuts_only_what_exceeds_the_capacity():
     texts = ["alpha beta", "alpha beta gamma", "delta", "", "delta epsilon"]
     cp, offs = kernel.code_points(pa.array(texts))
     terms, freqs, edges = packing.term_lists(cp, offs)
-    rows = list(packing.pack_shard(2, [10, 11, 12, 13, None], np.array([25, 7, 10, 0, 3]), edges, terms, freqs, 10))
+    rows = list(packing.pack_shard(7, [10, 11, 12, 13, None], np.array([25, 7, 10, 0, 3]), edges, terms, freqs, 10, corpus_of(edges, terms, freqs)))
     by_doc = {}
     for box, doc, piece, first, n in rows:
-        assert box >> 32 == 2 and n <= 10
+        assert box >= 7 and n <= 10
         by_doc.setdefault(doc, []).append((piece, first, n))
     assert sorted(by_doc[10]) == [(0, 0, 10), (1, 10, 10), (2, 20, 5)]
     assert by_doc[11] == [(0, 0, 7)] and by_doc[12] == [(0, 0, 10)] and by_doc[13] == [(0, 0, 0)] and by_doc[None] == [(0, 0, 3)]
+    box = {doc: box for box, doc, *_ in rows}
+    assert box[11] == box[None]  # 7 and 3 fit exactly
 
 
-def test_bm25_prefers_shared_rare_words():
+def test_bm25_equals_the_formula_and_prefers_shared_rare_words():
     texts = ["the rare aardvark sleeps", "the common dog runs", "an aardvark eats the ants", "the dog and the cat", ""]
     cp, offs = kernel.code_points(pa.array(texts))
     terms, freqs, edges = packing.term_lists(cp, offs)
-    scores = packing.Index(edges, terms, freqs).scores(0)
+    scores = packing.Index(edges, terms, freqs, corpus_of(edges, terms, freqs)).scores(0)
     assert scores[2] > scores[1] and scores[2] > scores[3] and scores[4] == 0
+    words = [t.split() for t in texts]
+    mean = sum(map(len, words)) / 5
+    for i, w in enumerate(words):
+        plain = 0.0
+        for x in set(words[0]):
+            df, tf = sum(x in v for v in words), w.count(x)
+            plain += np.log1p((5 - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(w) / mean))
+        assert scores[i] == pytest.approx(plain)
+
+
+def test_every_neighbour_that_fits_is_taken_before_others():
+    sizes = np.full(200, 2)
+    near = np.arange(200) % 2 == 0
+    boxes = packing.fill(sizes, 200, lambda i: np.where(near == near[i], 1.0, 0.0), np.arange(200))
+    assert len(boxes) == 2 and all(len({bool(near[i]) for i in b}) == 1 for b in boxes)
+
+
+def test_places_of_texts_with_common_words_agree():
+    texts = [f"rare{i // 2} thing{i // 2} " + " ".join(f"own{i}x{k}" for k in range(5)) for i in range(400)]
+    cp, offs = kernel.code_points(pa.array(texts))
+    terms, freqs, edges = packing.term_lists(cp, offs)
+    a, b = packing.places(edges, terms, corpus_of(edges, terms, freqs))
+    same = np.mean((a[::2] == a[1::2]) & (b[::2] == b[1::2]))
+    assert same > 0.95 and len(set(a.tolist())) > 150
 
 
 CELLS = st.dictionaries(st.tuples(st.sampled_from("abc"), st.sampled_from("xyz")), st.tuples(st.integers(0, 9), st.integers(0, 12), st.integers(0, 6)), min_size=1)

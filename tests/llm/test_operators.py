@@ -1,5 +1,6 @@
 """The operators on small tables: nulls, empty tables, repeated rows, clashing names, and brute force."""
 
+import random
 import unicodedata
 from datetime import datetime
 
@@ -58,7 +59,7 @@ def test_token_budget_and_estimates(spark):
 def test_packing(spark):
     rows = [(i, "lorem ipsum dolor " * (i % 9 + 1)) for i in range(60)] + [(100, "amet sit " * 900), (101, None), (102, ""), (3, "lorem ipsum dolor " * 4)]
     df = docs(spark, rows)
-    got = packing.pack(df, 256, shard_bytes=4000)
+    got = packing.pack(df, 256, shard_tokens=1000, shard_rows=30)
     counts = {r.doc_id: r.tokens for r in tokens.with_tokens(df.filter("doc_id >= 100")).collect()}
     boxes = {r.container: r.n for r in got.groupBy("container").agg(F.sum("tokens").alias("n")).collect()}
     assert max(boxes.values()) <= 256
@@ -72,6 +73,22 @@ def test_packing(spark):
         packing.pack(df, 0)
 
 
+def test_retrieval_brings_neighbours_together(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"topic{i % 20}word{rng.randrange(40)}" for _ in range(20 + i % 7)) + " of the and to", "s") for i in range(600)]
+    df = docs(spark, rows)
+    purity, fills = {}, {}
+    for way in (True, False):
+        got = packing.pack(df, 1024, shard_tokens=20_000, retrieval=way).collect()
+        boxes = {}
+        for r in got:
+            boxes.setdefault(r.container, []).append(r)
+        assert sorted(r.doc_id for r in got) == list(range(600)) and max(sum(r.tokens for r in b) for b in boxes.values()) <= 1024
+        purity[way] = sum(max([r.doc_id % 20 for r in b].count(t) for t in range(20)) for b in boxes.values()) / 600
+        fills[way] = sum(r.tokens for r in got) / (1024 * len(boxes))
+    assert purity[True] > 2 * purity[False] and fills[True] > fills[False] - 0.05
+
+
 def test_mixture(spark):
     rows = [(i, "one two three four " * 20, "Big") for i in range(40)] + [(100 + i, "one two three four " * 20, " small_x ") for i in range(4)] + [(200, None, "Big"), (201, "w", None)]
     targets = spark.createDataFrame([("big", 0.5, 3), ("small-x", 0.4, 2), ("none", 0.1, 5)], "source string, target_share double, max_repeats long")
