@@ -21,14 +21,14 @@ def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Larger neighbours of each node point to the least of its neighbourhood."""
     near = _both_ways(edges)
     least = _least(near).select("u", F.least("u", "m").alias("m"), "n")
-    return join_groups(near, least, ["u"], 2 * total).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    return join_groups(near, least, ["u"], 2 * total, look=False).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """A node and its smaller neighbours point to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = _least(down)
-    moved = join_groups(down, least, ["u"], total).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+    moved = join_groups(down, least, ["u"], total, look=False).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return moved.filter("u <> v").distinct()
 
 
