@@ -36,6 +36,11 @@ def _(spark, d):
     return forms.with_form(table(spark, d, "documents").select("doc_id", "text"))
 
 
+@query("p1_classes")
+def _(spark, d):
+    return forms.look_alike_classes(table(spark, d, "documents"))
+
+
 _TYPE = "lower(trim(coalesce(nullif(trim({0}), ''), {1})))"
 _LABEL = "CASE WHEN {0} IN ('case law', 'case-law', 'case_law') THEN 'caselaw' WHEN {0} = 'legal_mc4' THEN 'legal-mc4' ELSE {0} END"
 _PLACE = "CASE lower(trim({0})) WHEN 'us' THEN 'US' WHEN 'eu' THEN 'EU' WHEN 'uk' THEN 'UK' WHEN 'switzerland' THEN 'Switzerland' WHEN 'n/a' THEN 'N/A' WHEN 'na' THEN 'N/A' ELSE trim({0}) END"

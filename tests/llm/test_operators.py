@@ -42,6 +42,27 @@ def test_look_alike_pairs(spark):
     df = docs(spark, [(1, "paper"), (2, "pаper"), (3, "paper"), (4, "papers"), (2, "pаper"), (None, "раper"), (5, None), (6, "")])
     assert {tuple(r) for r in forms.look_alike_pairs(df).collect()} == {(1, 2), (2, 3)}
     assert forms.look_alike_pairs(df.limit(0)).collect() == []
+    assert {tuple(r) for r in forms.look_alike_classes(df).collect()} == {(1, 1, 1), (2, 1, 2), (3, 1, 1)}
+    assert forms.look_alike_classes(df.limit(0)).collect() == []
+
+
+def test_pairs_of_many_copies(spark):
+    """A third of all rows are copies of one text: pairs only with its other ways of writing."""
+    rows = [(i, "paper") for i in range(40)] + [(100, "pаper"), (101, "раper")] + [(200 + i, f"other {i}") for i in range(40)]
+    got = {tuple(r) for r in forms.look_alike_pairs(docs(spark, rows)).collect()}
+    assert got == {(i, j) for i in range(40) for j in (100, 101)} | {(100, 101)}
+
+
+def test_stable_characters_need_no_cluster():
+    import re
+
+    stable = re.compile("[\t\n" + re.sub(r"\\x\{(\w+)\}|\\x(\w\w)", lambda m: "\\" + f"U{int(m[1] or m[2], 16):08x}", forms.stable_class()) + r"\x20-\x7e]")
+    rest = (chr(i) for i in range(0x20000, 0x110000) if not (0x2F800 <= i < 0x2FA20 or 0xE0000 <= i < 0xE0200))
+    assert not any(unicodedata.decomposition(c) or unicodedata.combining(c) or unicodedata.category(c) in ("Cf", "Zs") for c in rest)
+    for i in (*range(0x180), *range(0x2000, 0x2100)):
+        if stable.fullmatch(chr(i)):
+            assert unicodedata.normalize("NFC", forms.plain(chr(i))) == chr(i) or chr(i) in "\t\n"
+    assert all(stable.fullmatch(c) for c in "aZ09 éßü–—“”’€§©") and not any(stable.fullmatch(c) for c in "\u00a0\u200b\u0301ﬁаο…ĳ")
 
 
 def test_token_budget_and_estimates(spark):
