@@ -113,15 +113,26 @@ def _(spark, d):
     return splits.group_pairs(splits.tied_groups(table(spark, d, "sft_records")))
 
 
+@query("p6_classes")
+def _(spark, d):
+    return splits.group_classes(splits.tied_groups(table(spark, d, "sft_records")))
+
+
+def _labels() -> list:
+    """What splits are stratified by: the direction, the length and the file a record comes from."""
+    return ["direction", splits.length_class(), F.get("provenance", 0)["file"]]
+
+
 @query("p6_splits")
 def _(spark, d):
-    return splits.assign_splits(table(spark, d, "sft_records"), table(spark, d, "split_targets")).select("id", "direction", "policy_group", "component", "assigned_split")
+    assigned = splits.assign_splits(table(spark, d, "sft_records"), table(spark, d, "split_targets"), _labels())
+    return assigned.select("id", "direction", "policy_group", "component", "assigned_split")
 
 
 @query("p6_report")
 def _(spark, d):
     targets = table(spark, d, "split_targets")
-    return splits.split_report(splits.assign_splits(table(spark, d, "sft_records"), targets), targets)
+    return splits.split_report(splits.assign_splits(table(spark, d, "sft_records"), targets, _labels()), targets, _labels())
 
 
 def _capacity(spark: SparkSession, d: str) -> int:

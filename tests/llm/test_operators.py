@@ -209,9 +209,24 @@ def test_tied_groups_and_splits(spark):
     where = {r.policy_group: r.assigned_split for r in got.collect() if r.policy_group}
     assert where["g1"] == where["g2"] == where["g4"]
     assert splits.assign_splits(df.limit(0), targets).collect() == []
+    assert {tuple(r) for r in splits.group_classes(splits.tied_groups(df)).collect()} == {("g1", "g1", 2), ("g2", "g1", 2), ("g4", "g1", 2)}
+    null_group = got.filter("policy_group IS NULL").first()
+    assert null_group.assigned_split == where["g1"]  # it shares a message with g2
     assert splits.group_pairs(splits.tied_groups(df.limit(0))).collect() == []
 
 
+def test_shares_hold_in_many_shards(spark):
+    """Components are dealt to shards, each with needs of its own: the shares of all rows and of every label stay near the targets."""
+    rng = random.Random(8)
+    rows = [("a" if rng.random() < 0.3 else "b", f"h{i // rng.randint(1, 4)}", f"prompt {i} " + "x" * (10 ** rng.randint(0, 3))) for i in range(3000)]
+    df = sft_rows(spark, rows)
+    targets = spark.createDataFrame([("train", 0.8), ("val", 0.1), ("test", 0.1)], "split string, target_share double")
+    labels = ["direction", splits.length_class()]
+    got = splits.assign_splits(df, targets, labels, shard_components=150)
+    report = splits.split_report(got, targets, labels).collect()
+    assert got.count() == 3000 and all(r.groups_apart == 0 and abs(r.actual_share - r.target_share) < 0.01 and r.largest_drift < 0.03 for r in report)
+
+
 def test_cut_texts(spark):
     whole = [(i, PROSE * 2 + f"The matter was remitted to the court of Town{chr(65 + i % 26)}.", "s") for i in range(30)]
     closed = [(100 + i, PROSE + "\n\nTHE END", "s") for i in range(5)]
