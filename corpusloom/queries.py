@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,80 @@ _WORDS = f"len(regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+'))"
 _TOKENS = "CAST(floor(CAST({0} AS DOUBLE) * CAST(1.3 AS DOUBLE)) AS BIGINT)"
 
 
+def _sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _compatible() -> tuple[str, str, list[tuple[str, str]]]:
+    """Characters whose NFKC form is one other character, those characters, and the longer forms of common blocks."""
+    single, several = [], []
+    for i in (*range(0xA0, 0xD800), *range(0xF900, 0xFFF0), *range(0x1D400, 0x1D800)):
+        to = unicodedata.normalize("NFKC", chr(i))
+        if len(to) == 1 and to != chr(i):
+            single.append((chr(i), to))
+        elif len(to) > 1 and (i < 0x180 or 0x2000 <= i < 0x2190 or 0xFB00 <= i < 0xFB07):
+            several.append((chr(i), to))
+    return "".join(a for a, _ in single), "".join(b for _, b in single), several
+
+
+def sql_nfkc(x: str) -> str:
+    """SQL of the compatibility form, for the characters that ``_compatible`` lists."""
+    a, b, several = _compatible()
+    for c, to in several:
+        x = f"replace({x}, {_sql_text(c)}, {_sql_text(to)})"
+    return f"nfc_normalize(translate({x}, {_sql_text(a)}, {_sql_text(b)}))"
+
+
+def sql_folded(x: str) -> str:
+    """SQL of case folding: lower case, and what folds further in the blocks up to Greek and among the ligatures."""
+    more = {c: c.casefold() for i in (*range(0x80, 0x400), *range(0xFB00, 0xFB18)) if (c := chr(i)).lower() == c != c.casefold()}
+    x = f"lower({x})"
+    for c, to in more.items():
+        x = f"replace({x}, {_sql_text(c)}, {_sql_text(to)})"
+    return x
+
+
+def sql_canonical(x: str) -> str:
+    """SQL of the canonical text."""
+    return f"regexp_replace(regexp_replace({sql_folded(sql_nfkc(x))}, '[{_SPACE}]+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+_BLANK = r"[\t\x{0b}\x{0c}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def sql_normal(x: str) -> str:
+    """SQL of the default normalization for texts without entities and tags."""
+    x = f"regexp_replace(coalesce({x}, ''), '\\r\\n?', chr(10), 'g')"
+    x = rf"regexp_replace({sql_nfkc(x)}, '[\x{{00}}-\x{{08}}\x{{0b}}-\x{{1f}}\x{{7f}}-\x{{9f}}\p{{Cf}}\p{{Co}}]', '', 'g')"
+    x = f"regexp_replace({x}, '{_BLANK}+', ' ', 'g')"
+    x = rf"regexp_replace(regexp_replace({x}, ' +\n', chr(10), 'g'), ' +$', '', 'g')"
+    x = rf"regexp_replace({x}, '\n(?:[ \t]*\n){{{{3,}}}}', repeat(chr(10), 3), 'g')".replace("{{", "{").replace("}}", "}")
+    return rf"regexp_replace({x}, '^(?:{_BLANK}|\n)+|(?:{_BLANK}|\n)+$', '', 'g')"
+
+
+def sql_collapsed(source: str, key: str, text: str) -> str:
+    """SQL table of ``k`` and ``x``, the texts of a source with runs of ten or more of one character shortened to three."""
+    return f"""(SELECT k, coalesce(string_agg(ch, '' ORDER BY i) FILTER (n < 10 OR r <= 3), '') AS x FROM (
+        SELECT k, ch, i, row_number() OVER (PARTITION BY k, ch, g ORDER BY i) AS r, count(*) OVER (PARTITION BY k, ch, g) AS n FROM (
+            SELECT k, ch, i, i - row_number() OVER (PARTITION BY k, ch ORDER BY i) AS g FROM (
+                SELECT k, unnest(c) AS ch, generate_subscripts(c, 1) AS i
+                FROM (SELECT {key} AS k, CASE WHEN {text} = '' THEN [''] ELSE regexp_extract_all({text}, '(?s).') END AS c FROM {source}))))
+        GROUP BY k)"""
+
+
+def sql_reached(edges: str, nodes: str) -> str:
+    """SQL table of ``node`` and ``component``, its least node, from tables with columns u, v and node."""
+    return f"""(WITH RECURSIVE e AS (SELECT DISTINCT u, v FROM {edges}), b AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+        r(node, reach) AS (SELECT node, node FROM {nodes} UNION SELECT r.node, b.v FROM r JOIN b ON r.reach = b.u)
+        SELECT node, min(reach) AS component FROM r GROUP BY node)"""
+
+
+def sql_shingles(source: str, key: str, text: str) -> str:
+    """SQL table of ``k`` and ``g``, the distinct five-word shingles of a source's texts."""
+    return f"""(SELECT k, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')))) AS g
+        FROM (SELECT {key} AS k, regexp_extract_all({sql_folded(text)}, '[\\p{{L}}\\p{{N}}_]+') AS w FROM {source}) WHERE len(w) >= 5)"""
+
+
 def sql_type(c: str, other: str = "NULL") -> str:
     """SQL of ``type_label``."""
     low = f"lower(trim(coalesce(nullif(trim({c}), ''), nullif(trim({other}), ''))))"
@@ -169,12 +244,11 @@ def _(spark, d):
     return rows.select("doc_id", F.sha2("c", 256).alias("cleaned"), (F.col("c") != F.col("text")).alias("changed"))
 
 
-@query("run_collapse")
+@query("run_collapse", f"SELECT k AS doc_id, x AS text FROM {sql_collapsed('documents', 'doc_id', 'text')}")
 def _(spark, d):
     return table(spark, d, "documents").select("doc_id", rules.without_runs(F.col("text")).alias("text"))
 
 
-_RULES = Rules(collapse_repeated_punctuation=False)
 _METRICS = f"""
     SELECT doc_id, type, length(c) AS chars, len(w) AS words,
         CASE WHEN length(regexp_replace(c, '[{_SPACE}]', '', 'g')) > 0 THEN length(regexp_replace(c, '[^\\p{{L}}]', '', 'g')) / length(regexp_replace(c, '[{_SPACE}]', '', 'g')) ELSE 0 END AS alphabetic,
@@ -184,7 +258,8 @@ _METRICS = f"""
     FROM (
         SELECT doc_id, type, c, list_transform(regexp_extract_all(c, '[\\p{{L}}\\p{{N}}_]+'), lambda x: lower(x)) AS w,
             list_filter(list_transform(string_split(c, chr(10)), lambda x: trim(lower(regexp_replace(x, '[{_SPACE}]+', ' ', 'g')))), lambda x: length(x) >= 20) AS l
-        FROM (SELECT doc_id, {sql_type('type')} AS type, regexp_replace({_UNMARKED}, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') AS c FROM documents)
+        FROM (SELECT doc_id, {sql_type('type')} AS type, regexp_replace(x, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') AS c
+            FROM documents JOIN {sql_collapsed('documents', 'doc_id', _UNMARKED)} ON k = doc_id)
     )"""
 _REASONS = f"""
     SELECT doc_id, type, list_filter([
@@ -195,7 +270,7 @@ _REASONS = f"""
 
 
 def _ruled(spark: SparkSession, d: str) -> DataFrame:
-    return rules.apply_rules(_documents(spark, d).select("doc_id", "type", "text"), _RULES)
+    return rules.apply_rules(_documents(spark, d).select("doc_id", "type", "text"), Rules())
 
 
 @query("rule_metrics", f"SELECT doc_id, chars AS characters, words, round(alphabetic, 6) AS alphabetic_ratio, round(replacement, 6) AS replacement_ratio, round(lines, 6) AS repeated_line_ratio, round(grams, 6) AS repeated_ngram_ratio FROM ({_METRICS})")
@@ -222,22 +297,38 @@ def _(spark, d):
     return rules.rejection_rates(_ruled(spark, d), ["type"]).drop("flagged_rows").withColumn("rejection_rate", F.round("rejection_rate", 9))
 
 
-@query("normalize_documents")
+@query("normalize_documents", f"SELECT doc_id, {sql_normal('text')} AS text FROM documents")
 def _(spark, d):
     return normalize.normalize(table(spark, d, "documents").select("doc_id", "text"))
 
 
-@query("exact_dedup")
+@query("exact_dedup", f"SELECT min(doc_id) AS doc_id, h AS text_hash FROM (SELECT doc_id, sha256({sql_canonical('text')}) AS h FROM documents) GROUP BY h")
 def _(spark, d):
     return dedup.first_copies(table(spark, d, "documents").select("doc_id", "text"), ["doc_id"]).select("doc_id", "text_hash")
 
 
-@query("near_dedup")
+# Exact copies, then all pairs of first copies by the shingles they share, with exact similarity.
+_ALIKE = f"""WITH h AS (SELECT doc_id, text, min(doc_id) OVER (PARTITION BY sha256({sql_canonical('text')})) AS first FROM documents),
+    s AS (SELECT * FROM {sql_shingles('(SELECT * FROM h WHERE doc_id = first)', 'doc_id', 'text')}), n AS (SELECT k, count(*) AS n FROM s GROUP BY k),
+    p AS (SELECT a.k AS u, b.k AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.k > b.k GROUP BY ALL),
+    e AS (SELECT u, v FROM p JOIN n a ON a.k = u JOIN n b ON b.k = v WHERE c / (a.n + b.n - c) >= 0.8 UNION SELECT doc_id, first FROM h WHERE doc_id <> first),
+    d AS (SELECT node AS doc_id, component AS representative FROM {sql_reached('e', '(SELECT doc_id AS node FROM h)')}),
+    l AS (SELECT d.*, CASE WHEN doc_id = representative THEN 'kept' WHEN first = representative THEN 'exact' ELSE 'near' END AS kind, 'sha256:' || sha256(CAST(representative AS VARCHAR)) AS dedup_cluster_id FROM d JOIN h USING (doc_id))"""
+
+
+@query("near_dedup", f"{_ALIKE} SELECT * FROM l")
 def _(spark, d):
     return dedup.deduplicate(table(spark, d, "documents").select("doc_id", "text"), NearDuplicates()).drop("text")
 
 
-@query("near_dedup_audit")
+@query(
+    "near_dedup_audit",
+    f"""{_ALIKE}, t AS (SELECT * FROM {sql_shingles('documents', 'doc_id', 'text')}), m AS (SELECT k, count(*) AS n FROM t GROUP BY k)
+    SELECT l.doc_id AS duplicate, representative, kind, CASE WHEN kind = 'exact' THEN 1.0 ELSE c / (a.n + b.n - c) END::DOUBLE AS similarity, dedup_cluster_id AS cluster_id
+    FROM l LEFT JOIN m a ON a.k = doc_id LEFT JOIN m b ON b.k = representative
+        LEFT JOIN (SELECT x.k AS u, y.k AS v, count(*) AS c FROM t x JOIN l ON l.doc_id = x.k JOIN t y ON y.k = representative AND y.g = x.g GROUP BY ALL) ON u = doc_id AND v = representative
+    WHERE kind <> 'kept'""",
+)
 def _(spark, d):
     return dedup.match_audit(dedup.deduplicate(table(spark, d, "documents").select("doc_id", "text"), NearDuplicates()))
 
@@ -264,17 +355,34 @@ def _candidates(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("source_file", "source_row").agg(first).select(F.lit("legal").alias("corpus"), "source_file", "source_row", "f.*", scan.alias("ordinal"))
 
 
-@query("accepted_records")
+# The accept path over legal_raw: first deliveries, normalized, judged by the rules, the first of equal canonical texts kept.
+_CLEAN = f"""WITH f AS (
+        SELECT source_file, source_row, {sql_type('type', 'text_type')} AS type, {sql_place('jurisdiction')} AS jurisdiction, {sql_source('source')} AS source, {sql_normal('text')} AS text
+        FROM legal_raw QUALIFY row_number() OVER (PARTITION BY source_file, source_row ORDER BY loaded_at, text NULLS FIRST) = 1),
+    k AS (SELECT *, source_file || chr(0) || source_row AS doc_id FROM f),
+    r AS ({_REASONS.replace(sql_type('type') + ' AS type', 'type').replace('documents', 'k')}),
+    c AS (SELECT k.* REPLACE (regexp_replace(x, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') AS text), r.reasons, sha256('legal' || chr(0) || k.doc_id) AS h
+        FROM k JOIN r ON r.doc_id = k.doc_id JOIN {sql_collapsed('k', 'doc_id', _UNMARKED)} y ON y.k = k.doc_id),
+    a AS (SELECT *, len(reasons) = 0 AND row_number() OVER (PARTITION BY len(reasons) = 0, {sql_canonical('text')} ORDER BY source_file, source_row) > 1 AS copy FROM c),
+    s AS (SELECT *, CASE WHEN len(reasons) > 0 THEN 'rules' WHEN copy THEN 'exact_deduplication' END AS stage, CASE WHEN copy THEN ['exact_duplicate'] ELSE reasons END AS why, {_TOKENS.format(_WORDS)} AS tokens FROM a)"""
+
+
+@query("accepted_records", f"{_CLEAN} SELECT 'sha256:' || h AS id, text, 'legal' AS corpus, type, jurisdiction, source, source_file, source_row, tokens AS estimated_tokens, CAST(NULL AS DOUBLE) AS perplexity FROM s WHERE stage IS NULL")
 def _(spark, d):
     return accept.accepted(accept.without_exact_copies(accept.prepared(_candidates(spark, d))))
 
 
-@query("rejected_records")
+@query("rejected_records", f"{_CLEAN} SELECT 'legal' AS corpus, source_file, source_row, stage, why AS reasons FROM s WHERE stage IS NOT NULL")
 def _(spark, d):
     return accept.rejected(accept.without_exact_copies(accept.prepared(_candidates(spark, d))))
 
 
-@query("accept_counters")
+@query(
+    "accept_counters",
+    f"""{_CLEAN} SELECT 'legal' AS corpus, type, count(*) AS input_rows, count(*) FILTER (stage IS NULL) AS accepted_rows, CAST(coalesce(sum(tokens) FILTER (stage IS NULL), 0) AS BIGINT) AS accepted_tokens,
+        count(*) FILTER (stage = 'rules') AS rule_rejections, count(*) FILTER (stage = 'perplexity') AS perplexity_rejections, count(*) FILTER (stage = 'exact_deduplication') AS exact_duplicates
+    FROM s GROUP BY type""",
+)
 def _(spark, d):
     return accept.stage_counters(accept.without_exact_copies(accept.prepared(_candidates(spark, d))), ("corpus", "type"))
 
@@ -393,12 +501,15 @@ def _(spark, d):
     return sampling.capped_shares(rows, "type", "jurisdiction", "n").withColumn("share", F.round("share", 9))
 
 
-@query("ngram_counts", r"""SELECT g AS ngram, count(*) AS occurrences FROM (
-    SELECT unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS g
-    FROM (SELECT list_concat(['<s>'], list_filter(regexp_split_to_array(lower(text), '[ \t\n\x0b\f\r]+'), lambda x: x <> ''), ['</s>']) AS w FROM documents)
-    WHERE len(w) >= 5) GROUP BY ALL HAVING count(*) >= 20""")
+@query("ngram_counts", r"""WITH t AS (
+        SELECT list_concat(['<s>'], list_filter(regexp_split_to_array(lower(text), '[ \t\n\x0b\f\r]+'), lambda x: x <> ''), ['</s>']) AS w FROM documents)
+    SELECT n AS size, g AS ngram, count(*) AS occurrences FROM (
+        SELECT n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(list_slice(w, i, i + n - 1), ' '))) AS g FROM t, (SELECT unnest([1, 2, 3, 4, 5]) AS n) WHERE len(w) >= n)
+    GROUP BY ALL HAVING n < 3 OR count(*) > 1""")
 def _(spark, d):
-    return perplexity.ngram_counts(table(spark, d, "documents"), 5, least=20)
+    rows = table(spark, d, "documents")
+    parts = [perplexity.ngram_counts(rows, n, least=1 if n < 3 else 2).select(F.lit(n).alias("size"), "ngram", "occurrences") for n in range(1, 6)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).unionByName(parts[4])
 
 
 @query("hash_split", f"SELECT policy_group, CASE WHEN p < 9900 THEN 'train' WHEN p < 9950 THEN 'validation' ELSE 'test' END AS split FROM (SELECT DISTINCT policy_group, ('0x' || substr(sha256(policy_group || '{SEED}'), 1, 16))::UBIGINT % 10000 AS p FROM sft_records WHERE policy_group IS NOT NULL)")
@@ -416,38 +527,61 @@ def _(spark, d):
     return sft.groups_apart(rows, "policy_group")
 
 
+_ESCAPED = "replace(replace(replace(replace({0}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n'), chr(9), chr(92) || 't')"
+_TURN = "'{\"content\": \"' || " + _ESCAPED.format("m.content") + " || '\", \"role\": \"' || m.role || '\"}'"
+_PAIR = f"sha256('[' || array_to_string(list_transform(messages, lambda m: {_TURN}), ', ') || ']')"
+
+
 @query(
     "sft_pairs",
-    """SELECT direction, min(id) AS record_id, CAST(list_unique(flatten(list(provenance))) AS BIGINT) AS places FROM sft_records GROUP BY direction, messages""",
+    f"""SELECT direction, min(id) AS record_id, {_PAIR} AS id, list_sort(list_distinct(flatten(list(list_transform(provenance, lambda p: p.file || '#' || p.row || '#' || p.split))))) AS places
+    FROM sft_records GROUP BY direction, messages""",
 )
 def _(spark, d):
     rows = table(spark, d, "sft_records").select("direction", "messages", "provenance", F.col("id").alias("record_id"))
-    return sft.deduplicated_pairs(rows, ["record_id"]).select("direction", "record_id", F.size("provenance").cast("long").alias("places"))
+    places = F.sort_array(F.transform("provenance", lambda p: F.concat_ws("#", p.file, p.row.cast("string"), p.split)))
+    return sft.deduplicated_pairs(rows, ["record_id"]).select("direction", "record_id", "id", places.alias("places"))
 
 
 @query(
     "generation_references",
-    f"""SELECT direction, split, min(id) AS id, sha256(p) AS prompt_hash, count(DISTINCT a) AS answers FROM (
-        SELECT direction, {_SPLIT} AS split, id, messages[1].content AS p, messages[2].content AS a FROM sft_records)
-    WHERE split IN ('validation', 'test') GROUP BY direction, split, p""",
+    f"""SELECT direction, split, min(id) AS id, sha256(p) AS prompt_hash, list(a ORDER BY first) AS answers FROM (
+        SELECT direction, split, p, a, min(id) AS first, min(id) AS id FROM (SELECT direction, {_SPLIT} AS split, id, messages[1].content AS p, messages[2].content AS a FROM sft_records)
+        WHERE split IN ('validation', 'test') GROUP BY direction, split, p, a)
+    GROUP BY direction, split, p""",
 )
 def _(spark, d):
     rows = table(spark, d, "sft_records").select("id", "direction", split_label("split").alias("split"), F.col("policy_group").alias("group_id"), "messages", F.col("id").alias("place"))
     seen = sft.generation_view(rows, "place")
-    return seen.select("direction", "split", "id", F.sha2(sft.prompt_text(), 256).alias("prompt_hash"), F.size("references").cast("long").alias("answers"))
+    return seen.select("direction", "split", "id", F.sha2(sft.prompt_text(), 256).alias("prompt_hash"), F.col("references").alias("answers"))
 
 
-@query("prompt_groups")
+_PROMPT = "list_filter(messages, lambda m: m.role = 'user')[1].content"
+_TIED = f"""(SELECT policy_group AS u, min(policy_group) OVER (PARTITION BY direction, p) AS v FROM (
+    SELECT policy_group, direction, {sql_canonical(_PROMPT)} AS p FROM sft_records WHERE policy_group IS NOT NULL) WHERE p IS NOT NULL)"""
+_GROUPS = sql_reached(_TIED, "(SELECT DISTINCT policy_group AS node FROM sft_records WHERE policy_group IS NOT NULL)")
+
+
+@query("prompt_groups", f"SELECT node, component FROM {_GROUPS}")
 def _(spark, d):
     return sft.group_of_prompts(table(spark, d, "sft_records"))
 
 
-@query("group_splits")
+@query(
+    "group_splits",
+    f"""WITH g AS (SELECT DISTINCT component AS group_id FROM {_GROUPS}), n AS (SELECT count(*) AS n FROM g), r AS (SELECT group_id, row_number() OVER (ORDER BY sha256('{SEED}:' || group_id), group_id) - 1 AS k FROM g)
+    SELECT group_id, CASE WHEN k < round_even(n * 0.1, 0) THEN 'validation' WHEN k < 2 * round_even(n * 0.1, 0) THEN 'test' ELSE 'train' END AS split FROM r, n""",
+)
 def _(spark, d):
     return sft.assign_group_splits(sft.group_of_prompts(table(spark, d, "sft_records")), SEED, 0.1, 0.1)
 
 
-@query("conflicting_prompts")
+@query(
+    "conflicting_prompts",
+    f"""SELECT p AS prompt_hash, count(*) AS rows, count(DISTINCT a) AS answers FROM (
+        SELECT sha256({sql_canonical(_PROMPT)}) AS p, sha256({sql_canonical("list_filter(messages, lambda m: m.role = 'assistant')[1].content")}) AS a FROM sft_records)
+    GROUP BY p HAVING count(DISTINCT a) > 1""",
+)
 def _(spark, d):
     return sft.conflicting_prompts(table(spark, d, "sft_records"))
 
@@ -470,6 +604,24 @@ def _(spark, d):
     return got.select(*[F.round(c, 9).alias(c) for c in got.columns])
 
 
-@query("contamination")
+_BARE = r"regexp_replace({0}, '[^\p{{L}}\p{{N}}]+', '', 'g')"
+_TRAIN = "(SELECT source_file || '#' || source_row AS id, text FROM legal_raw WHERE text IS NOT NULL)"
+
+
+@query(
+    "contamination",
+    f"""WITH t AS (SELECT DISTINCT id, text, {sql_canonical('text')} AS c FROM {_TRAIN}), v AS (SELECT id AS e, text, {sql_canonical('text')} AS c FROM accepted),
+    a AS (SELECT c, min(e) AS e FROM v GROUP BY c), b AS (SELECT {_BARE.format('c')} AS c, min(e) AS e FROM v GROUP BY ALL),
+    x AS (SELECT * FROM {sql_shingles('(SELECT DISTINCT id, text FROM t)', "id || chr(0) || sha256(text)", 'text')}),
+    y AS (SELECT * FROM {sql_shingles('(SELECT DISTINCT e, text FROM v)', "e || chr(0) || sha256(text)", 'text')}),
+    n AS (SELECT k, count(*) AS n FROM x GROUP BY k), m AS (SELECT k, count(*) AS n FROM y GROUP BY k),
+    p AS (SELECT x.k AS u, y.k AS v, count(*) AS c FROM x JOIN y USING (g) GROUP BY ALL),
+    f AS (
+        SELECT id, e, 0 AS rank, 1.0::DOUBLE AS similarity, 'exact' AS kind FROM t JOIN a USING (c) WHERE {_BARE.format('c')} <> ''
+        UNION ALL SELECT id, e, 1, 1.0, 'punctuation' FROM t JOIN b ON b.c = {_BARE.format('t.c')} WHERE b.c <> ''
+        UNION ALL SELECT split_part(u, chr(0), 1), split_part(v, chr(0), 1), 2, c / (n.n + m.n - c), 'near' FROM p JOIN n ON n.k = u JOIN m ON m.k = v WHERE c / (n.n + m.n - c) >= 0.8)
+    SELECT id, e AS evaluation_id, kind, similarity FROM f QUALIFY row_number() OVER (PARTITION BY id ORDER BY rank, similarity DESC, e) = 1""",
+)
 def _(spark, d):
-    return decontam.contamination(table(spark, d, "accepted").select("id", "text"), table(spark, d, "documents").select("doc_id", "text"), eval_key="doc_id")
+    train = table(spark, d, "legal_raw").filter("text IS NOT NULL").select(F.concat_ws("#", "source_file", "source_row").alias("id"), "text")
+    return decontam.contamination(train, table(spark, d, "accepted").select("id", "text"))
