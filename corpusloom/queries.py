@@ -38,7 +38,8 @@ _WORDS = f"len(regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+'))"
 _TOKENS = "CAST(floor(CAST({0} AS DOUBLE) * CAST(1.3 AS DOUBLE)) AS BIGINT)"
 
 
-def _sql_text(x: str) -> str:
+def sql_string(x: str) -> str:
+    """An SQL literal."""
     return "'" + x.replace("'", "''") + "'"
 
 
@@ -58,8 +59,8 @@ def sql_nfkc(x: str) -> str:
     """SQL of the compatibility form, for the characters that ``_compatible`` lists."""
     a, b, several = _compatible()
     for c, to in several:
-        x = f"replace({x}, {_sql_text(c)}, {_sql_text(to)})"
-    return f"nfc_normalize(translate({x}, {_sql_text(a)}, {_sql_text(b)}))"
+        x = f"replace({x}, {sql_string(c)}, {sql_string(to)})"
+    return f"nfc_normalize(translate({x}, {sql_string(a)}, {sql_string(b)}))"
 
 
 def sql_folded(x: str) -> str:
@@ -67,7 +68,7 @@ def sql_folded(x: str) -> str:
     more = {c: c.casefold() for i in (*range(0x80, 0x400), *range(0xFB00, 0xFB18)) if (c := chr(i)).lower() == c != c.casefold()}
     x = f"lower({x})"
     for c, to in more.items():
-        x = f"replace({x}, {_sql_text(c)}, {_sql_text(to)})"
+        x = f"replace({x}, {sql_string(c)}, {sql_string(to)})"
     return x
 
 
