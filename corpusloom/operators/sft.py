@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import string
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -213,8 +214,10 @@ def in_language(df: DataFrame, language: str, columns: Sequence[str]) -> DataFra
 
 
 def multiple_choice_prompt(question: Column | str, choices: Column | str) -> Column:
-    """Question, lettered choices and the begin of an answer."""
-    lines = F.transform(_col(choices), lambda c, i: F.concat(F.substring(F.lit("ABCDEFGHIJ"), i + 1, F.lit(1)), F.lit(". "), c))
+    """Question, lettered choices and the begin of an answer; a row with more choices than letters fails the job."""
+    letters = F.array(*map(F.lit, string.ascii_uppercase))
+    letter = lambda i: F.when(i < 26, F.get(letters, i)).otherwise(F.raise_error(F.lit("a question has more than 26 choices")))
+    lines = F.transform(_col(choices), lambda c, i: F.concat(letter(i), F.lit(". "), c))
     return F.concat_ws("\n", _col(question), F.array_join(lines, "\n"), F.lit("Answer:"))
 
 
@@ -234,3 +237,43 @@ def evaluation_averages(df: DataFrame, task: str, label: str, predicted: str) ->
     return tasks.agg(
         (F.sum("hits") / F.sum("n")).alias("micro_accuracy"), F.avg(F.col("hits") / F.col("n")).alias("macro_accuracy"), F.avg("balanced").alias("macro_balanced_accuracy")
     )
+
+
+def pool_sample(df: DataFrame, total: int, strata: Sequence[str], mix: Mapping[str, float], pool: str = "pool", seed: int = 42, record_id: str = "id") -> DataFrame:
+    """``total`` rows from pools in the shares of ``mix``, within a pool in proportion to the rows of its strata; none twice.
+
+    Fails if a pool holds fewer rows than its share. The driver holds a number for each stratum.
+    """
+    from corpusloom.operators.sampling import check_capacity, largest_remainder, select_by_quota
+
+    groups = [pool, *strata]
+    counts = {tuple(r[g] for g in groups): r["n"] for r in df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).collect()}
+    wanted = largest_remainder(total, {(k,): round(share * 10**9) for k, share in mix.items()})
+    held = {(k,): sum(n for g, n in counts.items() if g[0] == k) for k in mix}
+    check_capacity(wanted, held)
+    quotas = {}
+    for (name,), n in wanted.items():
+        quotas |= largest_remainder(n, {g: x for g, x in counts.items() if g[0] == name})
+    table = df.sparkSession.createDataFrame([(*g, q) for g, q in quotas.items()], ", ".join([*[f"{g} string" for g in groups], "quota long"]))
+    chosen = select_by_quota(df.withColumn("__one", F.lit(1)), table, groups, "__one", seed, record_id)
+    return chosen.drop("__one", "tokens_before", "priority")
+
+
+#: Roles and texts of the turns of known instruction sources, by the columns they stand in; ``conversations`` holds turns of its own.
+CHAT_SOURCES = {
+    "conversations": (),
+    "query_response": (("user", "query"), ("assistant", "response")),
+    "question_answer": (("user", "question"), ("assistant", "answer")),
+    "instruction_prompt": (("user", ("instruction", "prompt")), ("assistant", "answer")),
+    "inputs_answer": (("user", "inputs"), ("assistant", "answer")),
+}
+
+
+def chat_rows(df: DataFrame, source: str) -> DataFrame:
+    """The table of an instruction source with ``messages`` in the one chat form."""
+    if source == "conversations":
+        turns = F.transform("conversations", lambda t: F.struct(t["from"].alias("role"), t["value"].alias("content")))
+    else:
+        text = lambda c: F.col(c) if isinstance(c, str) else F.concat_ws("\n\n", *c)
+        turns = F.array(*[F.struct(F.lit(role).alias("role"), text(c).alias("content")) for role, c in CHAT_SOURCES[source]])
+    return df.withColumn("messages", canonical_chat(turns))

@@ -50,10 +50,16 @@ def global_summary(df: DataFrame, text: str = "text", labels: Sequence[str] = ("
 
 
 def rollup_shares(df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
-    """Totals by each key alone with their share of all estimated tokens; ``level`` names the key."""
-    parts = None
-    for k in keys:
-        part = grouped_stats(df, [k], text).select(F.lit(k).alias("level"), F.col(k).alias("value"), "documents", "estimated_tokens")
-        parts = part if parts is None else parts.unionByName(part)
+    """Totals by each key alone with their share of all estimated tokens, in one scan; ``level`` names the key."""
+    sets = _measured(df, text).groupingSets([[F.col(k)] for k in keys], *keys).agg(F.grouping_id().alias("__g"), *_sums())
+    level, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, k in enumerate(keys):
+        mine = F.col("__g") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i))
+        level, value = F.when(mine, k).otherwise(level), F.when(mine, F.col(k).cast("string")).otherwise(value)
     share = F.try_divide(F.col("estimated_tokens"), F.sum("estimated_tokens").over(Window.partitionBy("level")))
-    return parts.withColumn("token_share", share)
+    return sets.select(level.alias("level"), value.alias("value"), "documents", "estimated_tokens").withColumn("token_share", share)
+
+
+def gibibytes(size: Column | str) -> Column:
+    """Bytes in GiB."""
+    return (F.col(size) if isinstance(size, str) else size) / float(1 << 30)

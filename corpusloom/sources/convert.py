@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import string
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
-LETTERS = "ABCDEFGHIJ"
+from corpusloom.session import ship_package
+from corpusloom.sources.jsonl import discover
+
+LETTERS = string.ascii_uppercase
 
 
 def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -40,9 +47,37 @@ def write_json_lines(df: DataFrame, folder: str, overwrite: bool = False, rows_p
     (writer.partitionBy(*partition_by) if partition_by else writer).json(folder)
 
 
+def read_rows(spark: SparkSession, source: str) -> DataFrame:
+    """Rows of a Parquet table, or of a folder of Arrow files (streams, as data set libraries store them)."""
+    try:
+        arrow = [p for p in discover(spark, source) if p.endswith(".arrow")]
+    except FileNotFoundError:
+        arrow = []
+    return arrow_rows(spark, arrow) if arrow else spark.read.parquet(source)
+
+
+def arrow_rows(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """Rows of Arrow stream or file-format files, a task for each file, in batches as they are stored."""
+    ship_package(spark)
+
+    def open_batches(path: str) -> Iterator[pa.RecordBatch]:
+        system, at = (fs.LocalFileSystem(), path[5:]) if path.startswith("file:") else fs.FileSystem.from_uri(path)
+        with system.open_input_file(at) as source:
+            if source.read(6) == b"ARROW1":
+                reader = pa.ipc.open_file(source)
+                yield from (reader.get_batch(i) for i in range(reader.num_record_batches))
+            else:
+                source.seek(0)
+                yield from pa.ipc.open_stream(source)
+
+    schema = from_arrow_schema(next(open_batches(files[0])).schema)
+    listed = spark.createDataFrame([(p,) for p in files], "path string").repartition(len(files), "path")
+    return listed.mapInArrow(lambda parts: (b for part in parts for p in part["path"].to_pylist() for b in open_batches(p)), schema)
+
+
 def convert(spark: SparkSession, source: str, folder: str, drop: Sequence[str] = (), overwrite: bool = False, preview: int = 0) -> tuple[int, list[dict]]:
     """Parquet to JSON lines without loss; the rows written, verified by reading them again, and the first few."""
-    df = spark.read.parquet(source).drop(*drop)
+    df = read_rows(spark, source).drop(*drop)
     write_json_lines(df, folder, overwrite)
     read, written = df.count(), spark.read.text(folder).count()
     if read != written:
