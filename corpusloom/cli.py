@@ -1,4 +1,4 @@
-"""Command line of the entry points: statistics, build, proportional, convert."""
+"""Command line of the entry points: statistics, build, proportional, pairs, convert."""
 
 from __future__ import annotations
 
@@ -12,6 +12,9 @@ from corpusloom.functions.labels import JURISDICTIONS, TYPE_ALIASES
 from corpusloom.plans import pipelines
 from corpusloom.sources import convert
 
+#: Selections by name.
+PRESETS = {"eu": {"jurisdictions": ["EU"]}, "legislation": {"types": ["legislation"], "jurisdictions": ["ALL"]}}
+
 
 def parser() -> argparse.ArgumentParser:
     """The arguments of all commands."""
@@ -29,6 +32,16 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--seed", type=int, default=42)
         p.add_argument("--shard-tokens", type=int, default=100_000_000)
         p.add_argument("--near-dedup", choices=("minhash", "skip"), default="minhash")
+        p.add_argument("--dedup-threshold", type=float, default=0.5)
+        p.add_argument("--unverified", action="store_true", help="tie candidates without comparing their shingles")
+        p.add_argument("--model", help="language model (ARPA, or binary where its package is installed); executors must reach it")
+        p.add_argument("--skip-perplexity", action="store_true", help="build without a language model")
+        p.add_argument("--perplexity-threshold", type=float, default=1500.0)
+        p.add_argument("--score-replay", action="store_true")
+        p.add_argument("--max-legal-rows", type=int, help="trial: scan so many rows only")
+        p.add_argument("--max-replay-rows", type=int, help="trial: scan so many rows only")
+        p.add_argument("--keep-work", action="store_true", help="keep the stages from which a build can go on")
+    build.add_argument("--preset", choices=sorted(PRESETS))
     build.add_argument("--types", nargs="*")
     build.add_argument("--jurisdictions", nargs="*")
     build.add_argument("--replay-ratio", type=float, default=0.1)
@@ -44,9 +57,27 @@ def parser() -> argparse.ArgumentParser:
     lines.add_argument("--drop", nargs="*", default=[])
     lines.add_argument("--overwrite", action="store_true")
     lines.add_argument("--preview", type=int, default=0)
+    pairs = commands.add_parser("pairs", help="instruction pairs with leakage-safe splits")
+    pairs.add_argument("--input", nargs=3, action="append", required=True, metavar=("DIRECTION", "SPLIT", "PARQUET"))
+    pairs.add_argument("--instruction", nargs=2, action="append", required=True, metavar=("DIRECTION", "TEXT"))
+    pairs.add_argument("--out", required=True)
+    pairs.add_argument("--seed", type=int, default=42)
+    pairs.add_argument("--validation", type=float, default=0.1)
+    pairs.add_argument("--test", type=float, default=0.1)
+    pairs.add_argument("--plain", action="store_true", help="the bare policy or summary instead of input and output as they are")
     return top
 
 
+def settings(args: argparse.Namespace, **more: object) -> pipelines.Build:
+    """Build settings of the arguments that both builds share."""
+    if not args.model and not args.skip_perplexity:
+        raise SystemExit("give --model, or --skip-perplexity to build without one")
+    return pipelines.Build(
+        seed=args.seed, shard_tokens=args.shard_tokens, near_duplicates=args.near_dedup != "skip", verify_candidates=not args.unverified, similarity=args.dedup_threshold, model_path=None if args.skip_perplexity else args.model,
+        perplexity_threshold=args.perplexity_threshold, score_replay=args.score_replay, max_legal_rows=args.max_legal_rows, max_replay_rows=args.max_replay_rows, keep_work=args.keep_work, **more,
+    )
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     """Run a command; later arguments win over earlier ones."""
     args = parser().parse_args(argv)
@@ -57,13 +88,17 @@ def main(argv: Sequence[str] | None = None) -> None:
         rows, preview = convert.convert(spark, args.source, args.out, args.drop, args.overwrite, args.preview)
         print(json.dumps({"rows": rows, "preview": preview}, ensure_ascii=False, default=str))
     elif args.command == "build":
-        config = pipelines.Build(seed=args.seed, shard_tokens=args.shard_tokens, near_duplicates=args.near_dedup != "skip", replay_ratio=1.0 if args.replay_tokens else args.replay_ratio)
-        types, places = pipelines.selection(args.types, TYPE_ALIASES), pipelines.selection(args.jurisdictions, JURISDICTIONS)
+        preset = PRESETS.get(args.preset, {})
+        config = settings(args, replay_ratio=1.0 if args.replay_tokens else args.replay_ratio)
+        types, places = pipelines.selection(args.types or preset.get("types"), TYPE_ALIASES), pipelines.selection(args.jurisdictions or preset.get("jurisdictions"), JURISDICTIONS)
         pipelines.build_corpus(spark, args.legal, args.replay, args.out, config, types, places, args.replay_tokens)
+    elif args.command == "pairs":
+        folders: dict = {}
+        for direction, split, path in args.input:
+            folders.setdefault(direction, {})[split] = path
+        print(json.dumps(pipelines.prepare_pairs_from(spark, folders, dict(args.instruction), args.out, args.seed, args.validation, args.test, not args.plain)))
     else:
-        config = pipelines.Build(
-            seed=args.seed, shard_tokens=args.shard_tokens, near_duplicates=args.near_dedup != "skip", total_tokens=args.total_tokens, legal_share=args.legal_share, oversample=args.oversample, tolerance=args.tolerance
-        )
+        config = settings(args, total_tokens=args.total_tokens, legal_share=args.legal_share, oversample=args.oversample, tolerance=args.tolerance)
         with open(args.weights, encoding="utf-8") as f:
             weights = {(t, j): n for t, j, n in json.load(f)}
         pipelines.build_proportional(spark, args.legal, args.replay, weights, args.out, config)

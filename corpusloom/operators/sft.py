@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.hashing import sha
 from corpusloom.functions.pytext import canonical_text, sorted_json
 from corpusloom.operators.components import connected_components
+from corpusloom.session import arrow_function
 
 # Marks of a chat template that no message may hold.
 DELIMITERS = ("<|im_start|>", "<|im_end|>", "<|endoftext|>")
@@ -277,3 +279,24 @@ def chat_rows(df: DataFrame, source: str) -> DataFrame:
         text = lambda c: F.col(c) if isinstance(c, str) else F.concat_ws("\n\n", *c)
         turns = F.array(*[F.struct(F.lit(role).alias("role"), text(c).alias("content")) for role, c in CHAT_SOURCES[source]])
     return df.withColumn("messages", canonical_chat(turns))
+
+
+def loss_masked(df: DataFrame, encode: Callable[[str], list[int]], most: int, end: int | None = None, messages: str = "messages") -> DataFrame:
+    """The table with ``input_ids`` and ``labels``: -100 over the prompt, the answer's own tokens and the end mark after it.
+
+    ``encode`` is any tokenizer's function, sent to the workers. Prompt and answer are encoded
+    apart, so the mask ends where the answer begins. A row above ``most`` tokens fails the job.
+    """
+
+    def mask(prompts: pa.Array, answers: pa.Array) -> pa.Array:
+        rows = []
+        for prompt, answer in zip(prompts.to_pylist(), answers.to_pylist()):
+            a, b = encode(prompt or ""), encode(answer or "") + ([] if end is None else [end])
+            if len(a) + len(b) > most:
+                raise ValueError(f"a row has {len(a) + len(b)} tokens, more than {most}")
+            rows.append({"input_ids": a + b, "labels": [-100] * len(a) + b})
+        return pa.array(rows, pa.struct([("input_ids", pa.list_(pa.int64())), ("labels", pa.list_(pa.int64()))]))
+
+    answer = F.get(F.filter(messages, lambda m: m.role == "assistant"), 0)["content"]
+    made = arrow_function(df.sparkSession, mask, "struct<input_ids: array<long>, labels: array<long>>")(prompt_text(messages), answer)
+    return df.withColumn("__masked", made).select(*df.columns, "__masked.*")

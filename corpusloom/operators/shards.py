@@ -132,6 +132,23 @@ def assign_shards(df: DataFrame, order: Sequence[str], tokens: str, target: int,
     return df.join(numbered.join(F.broadcast(bases), "slice").select(*order, shard), order)
 
 
+def packed_sequences(df: DataFrame, order: Sequence[str], tokens: str, length: int) -> DataFrame:
+    """Pieces of documents in sequences of ``length`` tokens: documents in order, each with an end token behind it, cut where a sequence is full.
+
+    Columns of the order, ``sequence``, ``first_token`` (of the document) and ``tokens``, the end
+    token counted; the last sequence may be short. Null tokens count 0.
+    """
+    if length < 1:
+        raise ValueError("a sequence must hold at least one token")
+    own = (F.coalesce(F.col(tokens), F.lit(0)) + 1).cast("long")
+    rows = prefix_sums(df.select(*order, own.alias("__own")), list(order), "__own", "__before")
+    first, last = F.floor(F.col("__before") / length), F.floor((F.col("__before") + F.col("__own") - 1) / length)
+    cut = rows.withColumn("sequence", F.explode(F.sequence(first, last)))
+    begin, end = F.col("sequence") * length, (F.col("sequence") + 1) * length
+    held = F.least(end, F.col("__before") + F.col("__own")) - F.greatest(begin, F.col("__before"))
+    return cut.select(*order, "sequence", F.greatest(begin - F.col("__before"), F.lit(0)).cast("long").alias("first_token"), held.cast("long").alias("tokens"))
+
+
 def shard_statistics(sharded: DataFrame, tokens: str = "estimated_tokens") -> DataFrame:
     """Documents and tokens of each shard."""
     return sharded.groupBy("shard").agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(tokens), F.lit(0)).alias("tokens"))

@@ -57,7 +57,7 @@ def rejected(rows: DataFrame) -> DataFrame:
 
 
 def stage_counters(rows: DataFrame, keys: tuple[str, ...] = ("corpus",)) -> DataFrame:
-    """Rows in, accepted, their tokens, and rejected by stage."""
+    """Rows in (those selected for the path), accepted, their tokens, and rejected by stage."""
     still = F.col("stage").isNull()
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("input_rows"), F.count_if(still).alias("accepted_rows"),
@@ -65,3 +65,8 @@ def stage_counters(rows: DataFrame, keys: tuple[str, ...] = ("corpus",)) -> Data
         F.count_if(F.col("stage") == "rules").alias("rule_rejections"), F.count_if(F.col("stage") == "perplexity").alias("perplexity_rejections"),
         F.count_if(F.col("stage") == "exact_deduplication").alias("exact_duplicates"),
     )
+
+
+def rejection_counts(rows: DataFrame) -> DataFrame:
+    """Rejected rows by corpus, stage and reason."""
+    return rejected(rows).select("corpus", "stage", F.explode("reasons").alias("reason")).groupBy("corpus", "stage", "reason").agg(F.count(F.lit(1)).alias("rejected_rows"))

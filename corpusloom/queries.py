@@ -393,17 +393,12 @@ def _(spark, d):
     return table(spark, d, "rejected").select("corpus", "stage", F.explode("reasons").alias("reason")).groupBy("corpus", "stage", "reason").agg(F.count(F.lit(1)).alias("rejected_rows"))
 
 
-class WordPenalty:
-    """A scorer that gives each word one tenth to the power of its length over three."""
-
-    def score(self, sentence: str, bos: bool = True, eos: bool = True) -> float:
-        """log10 probability of a sentence."""
-        return -sum(len(w) / 3 for w in sentence.split()) - eos
-
-
 @query("perplexity_filter")
 def _(spark, d):
-    return perplexity.with_perplexity(table(spark, d, "documents").select("doc_id", "text"), WordPenalty, "word-penalty").select("doc_id", "scored.*")
+    rows = table(spark, d, "documents").select("doc_id", "text")
+    lines = spark.sparkContext.broadcast(perplexity.estimated_arpa(rows))
+    scored = perplexity.with_perplexity(rows, lambda: perplexity.ArpaModel(lines=lines.value), f"pairs of {d}")
+    return scored.select("doc_id", "scored.accepted", F.round("scored.perplexity", 3).alias("perplexity"), "scored.token_count", "scored.reason")
 
 
 _BEFORE = "coalesce(sum(tokens) OVER ({0} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
@@ -486,6 +481,16 @@ def _(spark, d):
     return shards.shard_statistics(_sharded(spark, d), "tokens")
 
 
+@query(
+    "packed_sequences",
+    f"""WITH o AS (SELECT id, tokens, {_BEFORE.format(f'ORDER BY {_SEEDED}, id').replace('sum(tokens)', 'sum(tokens + 1)')} AS b FROM {_FIRST}),
+    s AS (SELECT id, tokens, b, unnest(range(CAST(b // 2048 AS BIGINT), CAST((b + tokens) // 2048 AS BIGINT) + 1)) AS sequence FROM o)
+    SELECT id, sequence, CAST(greatest(sequence * 2048 - b, 0) AS BIGINT) AS first_token, CAST(least((sequence + 1) * 2048, b + tokens + 1) - greatest(sequence * 2048, b) AS BIGINT) AS tokens FROM s""",
+)
+def _(spark, d):
+    return shards.packed_sequences(sampling.shuffled(_accepted(spark, d), SEED), ["priority", "id"], "tokens", 2048).select("id", "sequence", "first_token", "tokens")
+
+
 @query("temperature_weights", f"SELECT l AS lang, n AS size, round(pow(n, 0.5) / sum(pow(n, 0.5)) OVER (), 9) AS weight FROM (SELECT {sql_language('lang')} AS l, count(*) AS n FROM documents GROUP BY ALL)")
 def _(spark, d):
     rows = table(spark, d, "documents").select(language_label("lang").alias("lang"))

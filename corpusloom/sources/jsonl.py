@@ -92,12 +92,19 @@ def filled(*names: Column) -> Column:
     return F.coalesce(*[F.when(n != "", n) for n in names], F.lit("UNKNOWN"))
 
 
-def legal_records(parsed: DataFrame, corpus: str) -> DataFrame:
-    """Records of the legal corpus: labels with their stand-ins, physical identity and scan order."""
+def legal_records(parsed: DataFrame, corpus: str, raw: bool = False) -> DataFrame:
+    """Records of the legal corpus: labels with their stand-ins, physical identity and scan order.
+
+    With ``raw`` also lines that hold no record (``is_bad``), and the labels and text as they stand (``raw_…``).
+    """
     r = F.col("record")
-    return parsed.filter("error IS NULL").select(
+    rows = parsed if raw else parsed.filter("error IS NULL")
+    # A line that holds no record lacks no label.
+    extra = [F.when(F.col("error").isNotNull(), "-").otherwise(c).alias(n) for c, n in zip((F.coalesce(r["type"], r["text_type"]), r["jurisdiction"], r["source"], r["text"]), ("raw_type", "raw_jurisdiction", "raw_source", "raw_text"))]
+    return rows.select(
         F.lit(corpus).alias("corpus"), "source_file", "source_row", filled(r["type"], r["text_type"]).alias("type"), filled(r["jurisdiction"]).alias("jurisdiction"),
         filled(r["source"]).alias("source"), r["text"].alias("text"), F.struct(F.lit(0).alias("corpus_rank"), F.col("file_rank").cast("long").alias("major"), F.col("source_row").cast("long").alias("minor")).alias("ordinal"),
+        *([F.col("error").isNotNull().alias("is_bad"), *extra] if raw else []),
     )
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 import os
 import shutil
-from collections.abc import Callable
+from collections.abc import Mapping
 from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,20 +50,29 @@ def write_statistics_csv(stats: DataFrame, path: str, keys: list[str]) -> None:
     os.replace(f"{path}.part", path)
 
 
-def stage(df: DataFrame, folder: str, fingerprint: str, partition_by: list[str] | None = None, rows_per_file: int | None = None) -> DataFrame:
-    """The table from ``folder`` if a run with equal settings has completed it, else written there and read again."""
+def staged_table(spark: SparkSession, folder: str, fingerprint: str) -> DataFrame | None:
+    """The table that a run with equal settings has completed in ``folder``, if any."""
     mark = os.path.join(folder, "_settings")
     if os.path.exists(os.path.join(folder, "_SUCCESS")) and os.path.exists(mark) and Path(mark).read_text() == fingerprint:
-        return df.sparkSession.read.parquet(folder)
+        return spark.read.parquet(folder)
+    return None
+
+
+def stage(df: DataFrame, folder: str, fingerprint: str, partition_by: list[str] | None = None, rows_per_file: int | None = None) -> DataFrame:
+    """The table from ``folder`` if a run with equal settings has completed it, else written there (in files of at most ``rows_per_file``) and read again."""
+    if (known := staged_table(df.sparkSession, folder, fingerprint)) is not None:
+        return known
     writer = df.write.mode("overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
-    Path(mark).write_text(fingerprint)
+    Path(folder, "_settings").write_text(fingerprint)
     return df.sparkSession.read.parquet(folder)
 
 
-def checked(df: DataFrame, check: Callable[[DataFrame], None]) -> DataFrame:
-    """The table after a check that fails the job before anything is published."""
-    check(df)
+def check_gates(df: DataFrame, gates: Mapping[str, Column]) -> DataFrame:
+    """The table if every row keeps every gate; else fails with the number of rows that break each, before anything is published."""
+    broken = df.agg(*[F.count_if(~F.coalesce(ok, F.lit(False))).alias(name) for name, ok in gates.items()]).first().asDict() if gates else {}
+    if found := {name: n for name, n in broken.items() if n}:
+        raise ValueError(f"rows that break a gate: {found}")
     return df

@@ -373,6 +373,105 @@ def test_build(spark, tmp_path):
         pipelines.build_corpus(spark, str(legal), None, out)
 
 
+def test_build_with_a_model_limits_and_resume(spark, tmp_path, monkeypatch):
+    legal = tmp_path / "legal"
+    legal.mkdir()
+    rng = random.Random(4)
+    body = lambda: " ".join(f"word{rng.randrange(900)}" for _ in range(60))
+    odd = " ".join(["zzz"] * 5 + [f"qq{i}" for i in range(60)])
+    lines = [json.dumps({"text": t, "type": "caselaw", "jurisdiction": "US"}) for t in [*(body() for _ in range(8)), odd, "tiny"]]
+    (legal / "x.jsonl").write_text("\n".join([*lines, "{broken", *lines[:3]]))
+    model = tmp_path / "m.arpa"
+    arpa = perplexity.estimated_arpa(texts(spark, [json.loads(x)["text"] for x in lines[:8]]))
+    model.write_text("\n".join(arpa))
+    config = pipelines.Build(model_path=str(model), perplexity_threshold=300.0, keep_work=True)
+    out = str(tmp_path / "out")
+    monkeypatch.setattr(pipelines, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        pipelines.build_corpus(spark, str(legal), None, out, config)
+    monkeypatch.undo()
+    monkeypatch.setattr(pipelines, "accept_all", lambda *a, **k: (_ for _ in ()).throw(AssertionError("the stage is there")))
+    manifest = pipelines.build_corpus(spark, str(legal), None, out, config)
+    monkeypatch.undo()
+    counters = manifest["counters"][0]
+    assert (counters["input_rows"], counters["accepted_rows"], counters["perplexity_rejections"], counters["rule_rejections"], counters["exact_duplicates"]) == (13, 8, 1, 1, 3)
+    assert manifest["scanned_rows"] == {"legal": 14} and manifest["inputs"]["legal"][0]["invalid_rows"] == 1
+    assert manifest["inputs"]["legal"][0]["sha256"] == hashlib.sha256((legal / "x.jsonl").read_bytes()).hexdigest()
+    audit = [json.loads(x) for f in (tmp_path / "out" / "rejected").glob("*.json") for x in f.read_text().splitlines()]
+    assert sorted(r["stage"] for r in audit) == ["exact_deduplication"] * 3 + ["perplexity", "rules"] and all("text" not in r for r in audit)
+    few = pipelines.build_corpus(spark, str(legal), None, str(tmp_path / "few"), pipelines.Build(max_legal_rows=3))
+    assert few["documents"] == 3 and not (tmp_path / "few.work").exists()
+    with pytest.raises(ValueError):
+        perplexity.scorer_of()
+    with pytest.raises(FileNotFoundError):
+        perplexity.load_model(str(tmp_path / "none"))
+    assert perplexity.normalized_perplexity("word1 word2", perplexity.load_model(str(model))) > 1
+
+
+def test_corpus_statistics_go_on_after_a_stop(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"f{k}.jsonl").write_text("\n".join([json.dumps({"text": "one two", "type": "t", "jurisdiction": "US"}), json.dumps({"text": None, "type": ""}), "bad"]))
+    out = str(tmp_path / "out")
+    first = pipelines.corpus_statistics(spark, str(tmp_path / "*.jsonl"), out, files_at_once=2)
+    want = {"documents": 6, "words": 6, "bad_json": 3, "missing_text": 3, "missing_type": 3, "missing_jurisdiction": 3, "missing_source": 6, "estimated_tokens": 7}
+    assert {k: first[k] for k in want} == want
+    staged = next((tmp_path / "out" / ".partial" / "00000").glob("*.parquet")).stat().st_mtime_ns
+    again = pipelines.corpus_statistics(spark, str(tmp_path / "*.jsonl"), out, files_at_once=2)
+    assert {k: again[k] for k in want} == want and next((tmp_path / "out" / ".partial" / "00000").glob("*.parquet")).stat().st_mtime_ns == staged
+    with pytest.raises(FileNotFoundError):
+        pipelines.corpus_statistics(spark, str(tmp_path / "*.none"), out)
+
+
+def test_pairs_from_tables(spark, tmp_path):
+    rows = [("do", f"text {i}", f'<|begin_odrl|>{{"uid": "u{i}", "n": {i // 2}}}<|end_odrl|><|begin_rcir|>x<|end_rcir|>') for i in range(40)]
+    spark.createDataFrame(rows, "instruction string, input string, output string").coalesce(1).write.parquet(str(tmp_path / "train"))
+    manifest = pipelines.prepare_pairs_from(spark, {"text2odrl": {"train": str(tmp_path / "train")}}, {"text2odrl": "Turn it."}, str(tmp_path / "out"))
+    counts = {r["split"]: (r["rows"], r["groups"]) for r in manifest["counts"]}
+    assert sum(n for n, _ in counts.values()) == 40 and counts["validation"][1] == counts["test"][1] == 2
+    assert len(json.loads((tmp_path / "out" / "inputs.json").read_text())["text2odrl"]["train"]) == 1
+
+
+def test_sequences_masks_pools_and_chats(spark):
+    rows = spark.createDataFrame([(0, 5), (1, 0), (2, 12), (3, None)], "o long, n long")
+    got = [(r.o, r.sequence, r.first_token, r.tokens) for r in shards.packed_sequences(rows, ["o"], "n", 8).orderBy("o", "sequence").collect()]
+    assert got == [(0, 0, 0, 6), (1, 0, 0, 1), (2, 0, 0, 1), (2, 1, 1, 8), (2, 2, 9, 4), (3, 2, 0, 1)]
+    pairs = spark.createDataFrame([([("user", "ab"), ("assistant", "c")],)], "messages array<struct<role: string, content: string>>")
+    masked = sft.loss_masked(pairs, lambda t: [ord(c) for c in t], 8, end=0).first()
+    assert masked.input_ids == [97, 98, 99, 0] and masked.labels == [-100, -100, 99, 0]
+    with pytest.raises(Exception):
+        sft.loss_masked(pairs, lambda t: [1] * 9, 8).collect()
+    pool = spark.createDataFrame([(str(i), "a" if i < 60 else "b", f"s{i % 3}") for i in range(100)], "id string, pool string, subset string")
+    drawn = sft.pool_sample(pool, 20, ["subset"], {"a": 0.5, "b": 0.5})
+    assert {(r.pool, r["count"]) for r in drawn.groupBy("pool").count().collect()} == {("a", 10), ("b", 10)} and drawn.select("id").distinct().count() == 20
+    with pytest.raises(ValueError):
+        sft.pool_sample(pool, 200, ["subset"], {"a": 0.5, "b": 0.5})
+    talk = spark.createDataFrame([([("human", "q"), ("gpt", "a")],)], "conversations array<struct<from: string, value: string>>")
+    assert [tuple(m) for m in sft.chat_rows(talk, "conversations").first().messages] == [("user", "q"), ("assistant", "a")]
+    ask = spark.createDataFrame([("i", "p", "a")], "instruction string, prompt string, answer string")
+    assert [tuple(m) for m in sft.chat_rows(ask, "instruction_prompt").first().messages] == [("user", "i\n\np"), ("assistant", "a")]
+    quiz = spark.createDataFrame([("Q?", [str(i) for i in range(27)])], "q string, c array<string>")
+    with pytest.raises(Exception):
+        quiz.select(sft.multiple_choice_prompt("q", "c")).collect()
+    held = sft.grouped_holdout(spark.createDataFrame([(f"g{i}", f"g{i}") for i in range(50)], "node string, component string"), 1, 0.01, 3, 5)
+    assert held.filter("held_out").count() == 3 and held.count() == 50
+
+
+def test_samples_gates_and_arrow_tables(spark, tmp_path):
+    import pyarrow.ipc
+
+    table = pa.table({"text": ["a", "b"], "n": [1, 2]})
+    (tmp_path / "set").mkdir()
+    with pyarrow.ipc.new_stream(str(tmp_path / "set" / "data-00000.arrow"), table.schema) as sink:
+        sink.write_table(table)
+    assert [tuple(r) for r in convert.read_rows(spark, str(tmp_path / "set")).orderBy("n").collect()] == [("a", 1), ("b", 2)]
+    (tmp_path / "x.jsonl").write_text("\n".join(json.dumps({"text": f"text {i}"}) for i in range(5)))
+    records = jsonl.legal_records(jsonl.parsed_lines(jsonl.numbered_lines(spark, str(tmp_path / "x.jsonl")), jsonl.LEGAL), "c")
+    assert [(r.id, r.text) for r in jsonl.sample_rows(records, 2, 4).orderBy("id").collect()] == [("sample-1", "text"), ("sample-2", "text")]
+    with pytest.raises(ValueError):
+        sinks.check_gates(records, {"short": F.length("text") < 6})
+    assert sinks.check_gates(records, {"short": F.length("text") < 7}) is records
+
+
 def test_convert_and_sinks(spark, tmp_path):
     texts(spark, ["a", None]).withColumn("drop", F.lit(1)).write.parquet(str(tmp_path / "in"))
     written, preview = convert.convert(spark, str(tmp_path / "in"), str(tmp_path / "out"), drop=["drop"], preview=1)
