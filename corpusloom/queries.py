@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import NearDuplicates, Rules
 from corpusloom.functions.hashing import sampled, split_of, stable_id, threshold_hex
+
 from corpusloom.functions.labels import jurisdiction_label, language_label, source_label, split_label, type_label
+from corpusloom.functions.text import text_bytes
 from corpusloom.operators import components, decontam, dedup, normalize, perplexity, rules, sampling, sft, shards, stats
 from corpusloom.plans import accept
 from corpusloom.session import table
@@ -388,9 +390,9 @@ def _(spark, d):
     return accept.stage_counters(accept.without_exact_copies(accept.prepared(_candidates(spark, d))), ("corpus", "type"))
 
 
-@query("rejection_audit", "SELECT corpus, stage, reason, count(*) AS rejected_rows FROM (SELECT corpus, stage, unnest(reasons) AS reason FROM rejected) GROUP BY ALL")
+@query("rejection_audit", f"{_CLEAN} SELECT 'legal' AS corpus, stage, reason, count(*) AS rejected_rows FROM (SELECT stage, unnest(why) AS reason FROM s WHERE stage IS NOT NULL) GROUP BY ALL")
 def _(spark, d):
-    return table(spark, d, "rejected").select("corpus", "stage", F.explode("reasons").alias("reason")).groupBy("corpus", "stage", "reason").agg(F.count(F.lit(1)).alias("rejected_rows"))
+    return accept.rejection_counts(accept.without_exact_copies(accept.prepared(_candidates(spark, d))))
 
 
 @query("perplexity_filter")
@@ -592,9 +594,57 @@ def _(spark, d):
     return sft.conflicting_prompts(table(spark, d, "sft_records"))
 
 
-@query("valid_conversations", "SELECT count(*) AS rows, count(*) FILTER (len(messages) > 0 AND messages[-1].role = 'assistant' AND len(list_filter(messages, lambda m: m.role = 'user')) > 0 AND len(list_filter(messages, lambda m: trim(coalesce(m.content, '')) = '')) = 0) AS valid_rows FROM sft_records")
+@query("valid_conversations", "SELECT DISTINCT id, len(messages) > 0 AND messages[-1].role = 'assistant' AND len(list_filter(messages, lambda m: m.role = 'user')) > 0 AND len(list_filter(messages, lambda m: trim(coalesce(m.content, '')) = '')) = 0 AS valid FROM sft_records")
+def _(spark, d):
+    return table(spark, d, "sft_records").select("id", sft.valid_conversation("messages").alias("valid")).distinct()
+
+
+@query("pair_order", f"SELECT DISTINCT id, sha256('{SEED}:' || id) AS order_hash FROM sft_records")
+def _(spark, d):
+    return sft.ordered_pairs(table(spark, d, "sft_records").select("id").distinct(), SEED)
+
+
+@query("joint_view", f"SELECT DISTINCT id, {_SPLIT} AS split, sha256('{SEED}:joint:' || id) AS order_hash FROM sft_records WHERE {_SPLIT} IN ('train', 'validation')")
+def _(spark, d):
+    rows = table(spark, d, "sft_records").select("id", split_label("split").alias("split")).distinct()
+    return sft.joint_view(rows, SEED)
+
+
+@query(
+    "pool_sample",
+    f"""WITH g AS (SELECT t AS pool, j AS subset, count(*) AS n FROM {_FIRST} WHERE t IN ('caselaw', 'contracts') GROUP BY ALL),
+    x AS (SELECT *, 60 * n / CAST(sum(n) OVER (PARTITION BY pool) AS DOUBLE) AS x FROM g),
+    q AS (SELECT pool, subset, floor(x) + CAST(row_number() OVER (PARTITION BY pool ORDER BY x - floor(x) DESC, subset DESC) <= 60 - sum(floor(x)) OVER (PARTITION BY pool) AS INT) AS quota FROM x),
+    r AS (SELECT id, t AS pool, j AS subset, row_number() OVER (PARTITION BY t, j ORDER BY {_SEEDED}, id) AS k FROM {_FIRST})
+    SELECT id, pool, subset FROM r JOIN q USING (pool, subset) WHERE k <= quota""",
+)
+def _(spark, d):
+    rows = _accepted(spark, d).select("id", F.col("type").alias("pool"), F.col("jurisdiction").alias("subset")).filter(F.col("pool").isin("caselaw", "contracts"))
+    return sft.pool_sample(rows, 120, ["subset"], {"caselaw": 0.5, "contracts": 0.5}, seed=SEED)
+
+
+@query(
+    "multiple_choice",
+    "SELECT id, 'Which group?' || chr(10) || array_to_string(list_transform(range(1, len(c) + 1), lambda i: chr(CAST(64 + i AS INT)) || '. ' || c[i]), chr(10)) || chr(10) || 'Answer:' AS prompt FROM (SELECT DISTINCT id, [direction, policy_uid, policy_group] AS c FROM sft_records WHERE policy_uid IS NOT NULL AND policy_group IS NOT NULL)",
+)
+def _(spark, d):
+    rows = table(spark, d, "sft_records").filter("policy_uid IS NOT NULL AND policy_group IS NOT NULL").select("id", F.array("direction", "policy_uid", "policy_group").alias("c")).distinct()
+    return rows.select("id", sft.multiple_choice_prompt(F.lit("Which group?"), "c").alias("prompt"))
+
+
+@query(
+    "preferred_copies",
+    f"""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256({sql_canonical('text')}) ORDER BY -length(text), doc_id) AS k FROM documents) WHERE k = 1""",
+)
+def _(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", dedup.text_hash(spark, F.col("text")).alias("cluster"), (-F.length("text")).alias("shorter"))
+    return dedup.preferred_copies(rows, "cluster", ["shorter"], "doc_id").select("doc_id")
+
+
+@query("file_inventory", "SELECT source_file, count(*) AS rows, count(*) FILTER (text IS NULL) AS empty_rows, CAST(coalesce(sum(strlen(text)), 0) AS BIGINT) AS bytes FROM legal_raw GROUP BY ALL")
 def _(spark, d):
-    return table(spark, d, "sft_records").agg(F.count(F.lit(1)).alias("rows"), F.count_if(sft.valid_conversation("messages")).alias("valid_rows"))
+    rows = table(spark, d, "legal_raw")
+    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("text").isNull()).alias("empty_rows"), F.coalesce(F.sum(text_bytes("text")), F.lit(0)).alias("bytes"))
 
 
 @query(
