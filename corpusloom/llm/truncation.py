@@ -32,6 +32,8 @@ CLOSING_TOKENS = 10
 RUNNING = 0.12
 #: Characters that hold the tokens of a closing line and one more.
 BLOCK_HEAD = 160
+#: Characters at the end of a text in which its last three tokens are looked for first.
+LAST = 100
 #: Characters at the end of a text that hold its last tokens and whatever the patterns of the end admit.
 TAIL = 400
 _WHITE = " \t\n\r\u00a0\u2002\u2007\u2009\u202f\u3000"
@@ -43,7 +45,7 @@ _MARK = (
     r"|</?[a-z]{0,10}|&[a-z#0-9]{1,8}|\\u[0-9a-f]{0,4}|\s[-\x{2013}])){1,4}\s*\z"
 )
 # What one of these begins with, and characters that hold the longest.
-_MARK_BEGIN, MARK = r"[\x{2026}\x{FFFD}\[(<{&\\\-\x{2013}]|\.\.\.", 48
+_MARK_BEGIN, MARK = r"[\x{2026}\x{FFFD}\[(<{&\\]|\s[-\x{2013}]|\.\.\.", 48
 # Abbreviations whose full stop ends no sentence.
 _ABBREVIATED = r"(?:^|[\s(])(?:No|Nos|Art|Arts|Nr|Abs|v|vs|cf|para|paras|Sec|sec|Ch|ch|p|pp|Vol|vol|Dr|Mr|Mrs|Ms|Prof|St|al|Ltd|Inc|Co|αρ|αρθ|παρ|чл|ал)\.\z"
 # Last lines that close a text wherever they stand.
@@ -71,16 +73,12 @@ def plain_end(text: Column) -> Column:
     return F.when(text.rlike(_ODD), plain).otherwise(text)
 
 
-def shapes(text: Column, capitals: bool = False, breaks: bool = False) -> Column:
-    """Words and stops in order; numbers and (without ``capitals``) capitalised words by a sign each, other words as they stand.
-
-    With ``breaks`` a break between blocks is a shape too: two line feeds, but one for the text's last break.
-    """
+def shapes(text: Column, capitals: bool = False) -> Column:
+    """Words and stops in order; numbers and (without ``capitals``) capitalised words by a sign each, other words as they stand; a break between blocks is one too."""
     s = F.regexp_replace(text, r"[0-9]+(?:[.,][0-9]+)*", "\u0001")
     if not capitals:
         s = F.regexp_replace(s, r"\p{Lu}[\p{L}\p{M}]*", "\u0002")
-    between = r"\n\n(?=(?s:.*)\n\n)|\n(?=\n)|" if breaks else ""
-    return F.regexp_extract_all(s, F.lit(between + r"[\p{L}\p{M}]+|[^\s\p{L}\p{M}]"), F.lit(0))
+    return F.regexp_extract_all(s, F.lit(r"[\p{L}\p{M}]+|\n\n|[^\s\p{L}\p{M}]"), F.lit(0))
 
 
 def identity(x: Column) -> Column:
@@ -94,8 +92,10 @@ def identity(x: Column) -> Column:
 
 
 def gram_keys(a: Column, b: Column, c: Column) -> list[Column]:
-    """Keys of a trigram, of its last two shapes and of its last one."""
-    return [F.xxhash64(a, b, c).alias("three"), F.xxhash64(b, c).alias("two"), identity(c).alias("one")]
+    """Keys of a trigram, of its last two shapes and of its last one, each made from the next."""
+    one = identity(c)
+    two = F.xxhash64(b, one)
+    return [F.xxhash64(a, two).alias("three"), two.alias("two"), one.alias("one")]
 
 
 def padded(tokens: Column) -> Column:
@@ -109,11 +109,13 @@ def trigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
     The break between blocks is a shape of its own. The last trigram of a text and that before
     its last break are left out: they may be those of a cut, or of what a loader put after one.
     """
-    tokens = shapes(F.concat(F.lit("\n\n"), plain_end(F.col(text))), breaks=True)
-    rows = computed(df.select(text), "t", tokens)
+    plain = computed(df.select(text), "s", F.concat(F.lit("\n\n"), plain_end(F.col(text))))
+    last = F.length(F.substring_index("s", "\n\n", -1))
+    marked = F.concat(F.left("s", F.length("s") - last - 2), F.lit("\u0004"), F.right("s", last))
+    rows = plain.select(shapes(marked).alias("t"))
     room = F.greatest(F.size("t") - 3, F.lit(0))
     fours = F.arrays_zip(*[F.slice("t", F.lit(i), room).alias(a) for i, a in enumerate("abcd", 1)])
-    each = rows.select(F.explode(fours).alias("g")).select("g.*").filter("NOT startswith(c, '\n') AND d <> '\n'")
+    each = rows.select(F.explode(fours).alias("g")).select("g.*").filter(~F.col("c").isin("\n\n", "\u0004") & (F.col("d") != "\u0004"))
     grams = each.select(*gram_keys(F.col("a"), F.col("b"), F.col("c")), (F.col("d") == "\n\n").cast("int").alias("e"))
     return grams.groupBy("three", "two", "one").agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("ends"))
 
@@ -172,11 +174,12 @@ def begun_blocks(df: DataFrame, text: str, asked: DataFrame) -> DataFrame:
 
 
 def endings(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Each text without a loader's line and mark (``bare``), and whether it had a mark."""
+    """Each text without a loader's line (of at most TAIL characters) and mark (``bare``), and whether it had a mark."""
     trimmed = F.rtrim(F.col(text), F.lit(_WHITE))
     last_line = F.substring_index("trimmed", "\n", -1)
     rows = df.select(F.col(key).alias("key"), source_label("source").alias("source"), trimmed.alias("trimmed"))
-    record = plain_end(last_line).rlike(_RECORD) & (F.length(last_line) < F.length("trimmed"))
+    short = (F.length(last_line) <= TAIL) & (F.length(last_line) < F.length("trimmed"))
+    record = F.when(short, plain_end(last_line).rlike(_RECORD)).otherwise(False)
     rows = rows.withColumn("full", F.when(record, _without_end(F.col("trimmed"), F.length(last_line))).otherwise(F.col("trimmed")))
     tail = F.right("full", F.lit(TAIL))
     begun = F.right("full", F.lit(MARK)).rlike(_MARK_BEGIN)
@@ -212,9 +215,13 @@ def described_ends(df: DataFrame, key: str, text: str) -> DataFrame:
     parts = parts.withColumn("end", F.rtrim(F.when(F.right(F.rtrim("end"), F.lit(1)).isin(*_CLOSING), F.regexp_replace("end", _CLOSERS, "")).otherwise(F.col("end"))))
     abbreviated = F.right("end", F.lit(ABBREVIATION)).rlike(_ABBREVIATED)
     stopped = F.right("end", F.lit(1)).isin(*_STOPS) & ~abbreviated
-    tokens = padded(shapes(F.when(abbreviated, F.left("end", F.length("end") - 1)).otherwise(F.col("end"))))
+    # The first token of a cut tail may be a broken one; where four are there the last three are whole.
+    ending = F.when(abbreviated, F.left("end", F.length("end") - 1)).otherwise(F.col("end"))
+    parts = computed(parts.withColumns({"stopped": stopped, "end": ending}), "t", shapes(F.right("end", F.lit(LAST))))
+    stopped = F.col("stopped")
+    parts = computed(parts, "t", F.when((F.size("t") > 3) | (F.length("end") <= LAST), padded(F.col("t"))).otherwise(padded(shapes(F.col("end")))))
     rows = parts.select(
-        "key", "source", "marked", "content", "any", F.coalesce(stopped, F.lit(False)).alias("stopped"), F.when(F.size(tokens) > 2, F.slice(tokens, -3, 3)).alias("t"),
+        "key", "source", "marked", "content", "any", F.coalesce(stopped, F.lit(False)).alias("stopped"), F.when(F.size("t") > 2, F.slice("t", -3, 3)).alias("t"),
         *[F.when(F.col("short"), shapes(plain_end(F.col("block")), capitals)).alias(name) for capitals, name in ((False, "block_shape"), (True, "block_words"))],
         (F.col("short") & plain_end(F.col("block")).rlike(_CLOSED)).alias("closed"), F.when(stopped & ~F.col("marked"), True).otherwise(_running(plain_end(F.col("block")), F.col("previous"))).alias("running"),
     )
