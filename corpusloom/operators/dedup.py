@@ -33,6 +33,8 @@ from corpusloom.session import arrow_function, cut_lineage, ship_package
 PAIRED = 64
 #: Counters that tell frequent shingles from rare ones.
 SLOTS = 1 << 18
+#: Ordinals up to which they are broadcast.
+FEW = 1_000_000
 #: Standard deviations by which a candidate's signature may fall short of the threshold (chance below 3e-7).
 DEVIATIONS = 5
 
@@ -181,13 +183,15 @@ class Comparer:
 
     def sets(self, ordinals: DataFrame) -> DataFrame:
         """``ordinal`` and ``shingles`` of some texts."""
-        rows = self.texts.join(ordinals, "ordinal", "left_semi")
+        ordinals = cut_lineage(ordinals.distinct())
+        # Few ordinals are sent to the texts; else both are shuffled.
+        rows = self.texts.join(F.broadcast(ordinals) if ordinals.count() <= FEW else ordinals, "ordinal", "left_semi")
         return cut_lineage(rows.select("ordinal", shingled(rows.sparkSession, "text", self.config).alias("shingles")))
 
     def alike(self, pairs: DataFrame) -> DataFrame:
         """The pairs, each once, that reach the threshold, with their ``similarity``."""
         likely = cut_lineage(self._likely(pairs.distinct()))
-        sets = self.sets(likely.select("ordinal").unionByName(likely.select(F.col("other").alias("ordinal"))).distinct())
+        sets = self.sets(likely.select("ordinal").unionByName(likely.select(F.col("other").alias("ordinal"))))
         mine, other = sets.withColumnRenamed("shingles", "a"), sets.select(F.col("ordinal").alias("other"), F.col("shingles").alias("b"))
         scored = likely.join(mine, "ordinal").join(other, "other").select("ordinal", "other", jaccard("a", "b").alias("similarity"))
         return cut_lineage(scored.filter(F.col("similarity") >= self.config.similarity_threshold))
@@ -227,15 +231,17 @@ def _prefix_pairs(texts: DataFrame, threshold: float) -> DataFrame:
     return first.join(other, "token").filter((F.col("other_ordinal") < F.col("ordinal")) & (F.col("other_label") != F.col("label")) & near).select("ordinal", F.col("other_ordinal").alias("other"))
 
 
-def near_duplicate_edges(df: DataFrame, config: NearDuplicates, ordinal: str, text: str = "text") -> DataFrame:
+def near_duplicate_edges(df: DataFrame, config: NearDuplicates, ordinal: str, text: str = "text", source: DataFrame | None = None) -> DataFrame:
     """``ordinal``, ``other`` (the lesser) and ``similarity``: links that tie all alike texts that share a bucket.
 
     The texts of a bucket are compared with its least one. Of those not tied to the same text
     the pairs are compared, in a bucket of more than ``PAIRED`` texts those whose prefixes meet;
     both ways find every pair above the threshold. With ``verify`` off the members of a bucket
-    are tied unseen.
+    are tied unseen. ``source`` is a cheaper table that holds the same texts, and perhaps others, from
+    which those of candidates are fetched.
     """
     texts = df.select(F.col(ordinal).alias("ordinal"), F.col(text).alias("text"))
+    fetched = texts if source is None else source.select(F.col(ordinal).alias("ordinal"), F.col(text).alias("text"))
     sketched = cut_lineage(texts.select("ordinal", sketches(df.sparkSession, "text", config).alias("s")).select("ordinal", "s.*"))
     rows = sketched.select("ordinal", "size", F.explode("bands").alias("key"))
     groups = cut_lineage(rows.groupBy("key").agg(F.min("ordinal").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
@@ -244,7 +250,7 @@ def near_duplicate_edges(df: DataFrame, config: NearDuplicates, ordinal: str, te
     if not config.verify:
         return shared.filter("ordinal <> least").select("ordinal", F.col("least").alias("other"), F.lit(None).cast("double").alias("similarity")).distinct()
     shared = cut_lineage(shared)
-    compare, threshold = Comparer(texts, sketched, config), config.similarity_threshold
+    compare, threshold = Comparer(fetched, sketched, config), config.similarity_threshold
     tied = compare.alike(shared.filter("ordinal <> least").select("ordinal", F.col("least").alias("other")))
     label = tied.groupBy("ordinal").agg(F.min("other").alias("label"))
     marked = cut_lineage(shared.join(label, "ordinal", "left").withColumn("label", F.coalesce("label", "ordinal")))
@@ -256,7 +262,7 @@ def near_duplicate_edges(df: DataFrame, config: NearDuplicates, ordinal: str, te
     large = cut_lineage(mixed.filter(F.col("n") > PAIRED).select("key"))
     if not large.isEmpty():
         members = marked.join(F.broadcast(large) if large.count() <= 1000 else large, "key", "left_semi").select("ordinal", "label").distinct()
-        pairs = pairs.unionByName(_prefix_pairs(compare.sets(members).join(members, "ordinal"), threshold))
+        pairs = pairs.unionByName(_prefix_pairs(compare.sets(members.select("ordinal")).join(members, "ordinal"), threshold))
     return tied.unionByName(compare.alike(pairs))
 
 
@@ -281,7 +287,7 @@ def deduplicate(df: DataFrame, config: NearDuplicates | None = None, ordinal: st
     groups = cut_lineage(known.groupBy("__hash").agg(F.min("__ordinal").alias("__first"), F.count(F.lit(1)).alias("n")))
     known = join_groups(known, groups, ["__hash"], known.count()).select("__ordinal", "__first", "__id")
     heads = df.select(ordinal, text).join(groups.select(F.col("__first").alias(ordinal)), ordinal, "left_semi")
-    clusters = connected_components(near_duplicate_edges(heads, config, ordinal, text).select("ordinal", "other"))
+    clusters = connected_components(near_duplicate_edges(heads, config, ordinal, text, df).select("ordinal", "other"))
     sizes = cut_lineage(clusters.withColumnRenamed("node", "__first"))
     whole = known.join(sizes, "__first", "left").select("__ordinal", "__first", "__id", F.coalesce("component", "__first").alias("representative"))
     kind = F.when(F.col("__ordinal") == F.col("representative"), "kept").when(F.col("__first") == F.col("representative"), "exact").otherwise("near")
