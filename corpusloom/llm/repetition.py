@@ -2,9 +2,9 @@
 
 The measure of a text is the share of its words that lie in a run of ``RUN`` or more words that
 occurred earlier in the text; beside it stand the shares in repeated sentences and paragraphs.
-The cutoff on the measure is learned for each stratum on a labelled holdout: passages of known
-length are planted a second time into held-out texts freed of repetition, and the label is the
-planted share, not the measure. From the strictest cutoff downwards each is kept while the
+The cutoff on the measure is learned for each stratum on labelled texts made from all texts of
+the table: passages of known length are planted a second time into the words of a text freed of
+repetition, and the label is the planted share, not the measure. From the strictest cutoff downwards each is kept while the
 exact binomial upper bound of the rate at which it rejects texts that are no cases stays below
 the allowed risk (a fixed sequence of tests), the error probability being divided among the
 strata (Bonferroni). The lowest cutoff kept decides.
@@ -13,7 +13,7 @@ strata (Bonferroni). The lowest cutoff kept decides.
 from __future__ import annotations
 
 import re
-from math import exp, inf, lgamma, log
+from math import inf, lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +28,14 @@ from corpusloom.session import arrow_function, cut_lineage
 RUN = 10
 #: Planted share from which a text is a case, and below which it is an ordinary one.
 REPETITIVE, ORDINARY = 0.40, 0.20
-#: Expected texts of the holdout, the allowed rate of false rejection, and the error probability for all strata.
+#: Labelled texts at least (of smaller tables each text is planted several times), the allowed rate of false rejection, and the error probability for all strata.
 HOLDOUT, RISK, ERROR = 8000, 0.02, 0.05
 #: Cutoffs in the order in which they are tested.
 CUTOFFS = tuple(round(0.60 - 0.01 * i, 2) for i in range(56))
 #: Cutoff of a stratum, and of all pooled, where no cutoff can be shown to keep the risk.
 STRICTEST = CUTOFFS[0]
-_RETURNS = "struct<words: long, repeated_share: double, sentence_share: double, paragraph_share: double>"
-_HELD = "struct<planted: double, label: string, score: double>"
+_HELD = pa.struct([("planted", pa.float64()), ("label", pa.string()), ("score", pa.float64())])
+_RETURNS = "struct<words: long, repeated_share: double, sentence_share: double, paragraph_share: double, held: array<struct<planted: double, label: string, score: double>>>"
 _STOPS = [ord(c) for c in ".!?"]
 
 
@@ -48,20 +48,34 @@ def _repeated(values: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return same
 
 
+def _covered(hashes: np.ndarray, doc: np.ndarray, run: int = RUN) -> np.ndarray:
+    """Which words lie in runs that occurred earlier in the same text; words are in order of their texts."""
+    at = np.flatnonzero(doc[run - 1 :] == doc[: len(doc) - run + 1]) if len(doc) >= run else np.zeros(0, np.int64)
+    again = at[_repeated(segment_hashes(hashes, at, at + run), doc[at])]
+    cover = np.zeros(len(doc) + 1, np.int64)
+    cover[again] += 1
+    cover[again + run] -= 1
+    return np.cumsum(cover[:-1]) > 0
+
+
+def _words(cp: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Starts, ends and hashes of the words, and the text of each."""
+    starts, ends, hashes = words(cp, offs)
+    return starts, ends, hashes, np.searchsorted(offs, starts, "right") - 1
+
+
 def shares(cp: np.ndarray, offs: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of each text, and the shares of them in repeated runs, sentences and paragraphs."""
     cp, offs = without_invisible(cp, offs)
+    found = _words(cp, offs)
+    return _shares(cp, offs, *found, _covered(found[2], found[3], run))
+
+
+def _shares(cp: np.ndarray, offs: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, doc: np.ndarray, covered: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     n = len(offs) - 1
-    starts, ends, hashes = words(cp, offs)
-    doc = np.searchsorted(offs, starts, "right") - 1
     count = np.bincount(doc, minlength=n)
     total = np.maximum(count, 1)
-    at = np.flatnonzero(doc[run - 1 :] == doc[: len(doc) - run + 1]) if len(doc) >= run else np.zeros(0, np.int64)
-    again = at[_repeated(segment_hashes(hashes, at, at + run), doc[at])]
-    cover = np.zeros(len(doc) + 1, np.int64)
-    np.add.at(cover, again, 1)
-    np.add.at(cover, again + run, -1)
-    out = [count, np.bincount(doc, np.cumsum(cover[:-1]) > 0, n) / total]
+    out = [count, np.bincount(doc, covered, n) / total]
     feeds = np.zeros(len(cp) + 1, np.int64)
     np.cumsum(cp == 0x0A, out=feeds[1:])
     stops = np.zeros(len(cp) + 1, np.int64)
@@ -97,66 +111,107 @@ def exact_share(text: str, run: int = RUN) -> float:
     return float(covered.mean()) if found else 0.0
 
 
+def _mixed(seeds: np.ndarray, stream: np.ndarray | int) -> np.ndarray:
+    """Evenly spread 64-bit values of seeds and the number of a stream."""
+    x = seeds.astype(np.uint64) + (np.atleast_1d(stream).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _drawn(seeds: np.ndarray, stream: int) -> np.ndarray:
+    """Numbers from 0 to below 1."""
+    return (_mixed(seeds, stream) >> np.uint64(11)) * 2.0**-53
+
+
+def plans(seeds: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What is planted into texts of ``own`` words: whole copies, the words of one more passage, where that begins, and whether it fits.
+
+    A third of the seeds plant nothing, a third up to the share of an ordinary text, the others
+    that of a case. Nothing fits texts too short for a passage of two runs.
+    """
+    kind = (_drawn(seeds, 0) * 3).astype(np.int64)
+    low = np.where(kind == 1, 2 * RUN / (own + 2 * RUN), REPETITIVE)
+    high = np.where(kind == 1, ORDINARY, 0.85)
+    share = np.where(kind == 0, 0.0, low + (high - low) * _drawn(seeds, 1))
+    copies, tail = np.divmod((own * share / (1 - share)).astype(np.int64), np.maximum(own, 1))
+    tail = np.where(tail >= RUN, tail, 0)
+    at = (_drawn(seeds, 2) * (own - tail + 1)).astype(np.int64)
+    return copies, tail, at, (own >= 5 * RUN) & ((kind != 1) | (low < high))
+
+
 def planted(text: str, seed: int) -> tuple[str, float] | None:
     """A text of known repetition: its words without repeated runs, and passages of them once more; with the planted share.
 
-    A third of the seeds plant nothing, a third up to the share of an ordinary text, the others
-    that of a case. None if the text is too short for a passage of two runs.
+    None if the text is too short. ``planted_scores`` does the same on hashes of the words.
     """
     found, covered = repeated_words(text)
     own = [w for w, c in zip(found, covered) if not c]
-    rng = np.random.default_rng(seed)
-    kind = rng.integers(3)
-    if len(own) < 5 * RUN:
+    copies, tail, at, fits = (x[0] for x in plans(np.array([seed]), np.array([len(own)])))
+    if not fits:
         return None
-    if kind == 0:
-        return " ".join(own), 0.0
-    low, high = (2 * RUN / (len(own) + 2 * RUN), ORDINARY) if kind == 1 else (REPETITIVE, 0.85)
-    if low >= high:
-        return None
-    share = rng.uniform(low, high)
-    left = int(len(own) * share / (1 - share))
     out, added = list(own), 0
-    while left >= RUN:
-        n = min(left, len(own))
-        at = int(rng.integers(len(own) - n + 1))
+    for begin, n in [(0, len(own))] * copies + [(at, tail)] * bool(tail):
         # A word of its own keeps the passage from running on from what stands before it.
-        out += [f"planted{seed % 997}x{added}", *own[at : at + n]]
+        out += [f"planted{seed % 997}x{added}", *own[begin : begin + n]]
         added += n
-        left -= n
     return " ".join(out), added / len(out)
 
 
+def planted_scores(hashes: np.ndarray, doc: np.ndarray, covered: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text whether a passage fits, the planted share, and the measure of its words with the planted passages."""
+    n = len(seeds)
+    own_hashes, own_doc = hashes[~covered], doc[~covered]
+    own = np.bincount(own_doc, minlength=n)
+    copies, tail, at, fits = plans(seeds, own)
+    pieces = np.where(fits, 1 + copies + (tail > 0), 0)
+    text = np.repeat(np.arange(n), pieces)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    last = number > copies[text]
+    begin = (np.cumsum(own) - own)[text] + np.where(last, at[text], 0)
+    length = np.where(last, tail[text], own[text]) + (number > 0)
+    # A value of its own stands before each passage.
+    first = np.cumsum(length) - length
+    source = np.arange(length.sum()) + np.repeat(begin - (number > 0) - first, length)
+    source[first[number > 0]] = 0
+    values = own_hashes[source]
+    values[first[number > 0]] = _mixed(seeds[text], number + 3)[number > 0]
+    of = np.repeat(text, length)
+    total = np.maximum(np.bincount(of, minlength=n), 1)
+    return fits, (copies * own + tail) / total, np.bincount(of, _covered(values, of), n) / total
+
+
 def label_of(share: float) -> str:
     """The label of a planted share."""
     return "repetitive" if share >= REPETITIVE else "ordinary" if share < ORDINARY else "between"
 
 
-def _measure(texts: pa.Array) -> pa.Array:
-    parts = [shares(cp, offs) for cp, offs in blocks(texts)]
-    columns = [pa.array(np.concatenate([np.zeros(0, t), *(p[k] for p in parts)]).astype(t)) for k, t in enumerate((np.int64, *[np.float64] * 3))]
-    return pa.StructArray.from_arrays(columns, ["words", "repeated_share", "sentence_share", "paragraph_share"])
-
+def _measure(texts: pa.Array, seeds: np.ndarray, times: int) -> pa.Array:
+    columns, held, at = [[], [], [], []], [], 0
+    for cp, offs in blocks(texts):
+        cp, offs = without_invisible(cp, offs)
+        found = _words(cp, offs)
+        covered = _covered(*found[2:])
+        for column, part in zip(columns, _shares(cp, offs, *found, covered)):
+            column.append(part)
+        own, at = seeds[at : at + len(offs) - 1], at + len(offs) - 1
+        held.append([np.stack(x, 1) for x in zip(*(planted_scores(*found[2:], covered, _mixed(own, k)) for k in range(times)))])
+    fits, planted_share, score = (np.concatenate([np.zeros((0, times), t), *(h[k] for h in held)]) for k, t in enumerate((bool, float, float)))
+    kept = planted_share[fits]
+    names = np.where(kept >= REPETITIVE, label_of(REPETITIVE), np.where(kept < ORDINARY, label_of(0), label_of(ORDINARY)))
+    lines = pa.StructArray.from_arrays([pa.array(kept), pa.array(names, pa.string()), pa.array(score[fits])], fields=list(_HELD))
+    ends = np.concatenate([[0], np.cumsum(fits.sum(1))])
+    out = [pa.array(np.concatenate([np.zeros(0, t), *c]).astype(t)) for c, t in zip(columns, (np.int64, *[np.float64] * 3))]
+    return pa.StructArray.from_arrays([*out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lines)], ["words", "repeated_share", "sentence_share", "paragraph_share", "held"])
 
-def repetition(spark: SparkSession, text: str) -> Column:
-    """Struct of words and repeated shares."""
 
-    def measure(texts: pa.Array) -> pa.Array:
-        return _measure(texts)
+def repetition(spark: SparkSession, text: str, seed: Column, times: int) -> Column:
+    """Struct of words, repeated shares, and ``held``: planted share, label and measure of the text with planted passages, ``times`` if they fit."""
 
-    return arrow_function(spark, measure, _RETURNS)(F.col(text))
+    def measure(texts: pa.Array, seeds: pa.Array) -> pa.Array:
+        return _measure(texts, np.array(seeds.to_numpy(zero_copy_only=False)).view(np.uint64), times)
 
-
-def labelled(spark: SparkSession, text: str, seed: Column) -> Column:
-    """Struct of a holdout text's planted share, its label and the measure of the text with the planted passage; null where none fits."""
-
-    def plant(texts: pa.Array, seeds: pa.Array) -> pa.Array:
-        made = [planted(t, abs(n)) if t else None for t, n in zip(texts.to_pylist(), seeds.to_pylist())]
-        scores = _measure(pa.array([m[0] if m else None for m in made], pa.string())).field("repeated_share").to_pylist()
-        rows = [{"planted": m[1], "label": label_of(m[1]), "score": x} if m else None for m, x in zip(made, scores)]
-        return pa.array(rows, pa.struct([("planted", pa.float64()), ("label", pa.string()), ("score", pa.float64())]))
-
-    return arrow_function(spark, plant, _HELD)(F.col(text), seed)
+    return arrow_function(spark, measure, _RETURNS)(F.col(text), seed)
 
 
 def upper_bound(rejected: int, n: int, error: float) -> float:
@@ -164,11 +219,16 @@ def upper_bound(rejected: int, n: int, error: float) -> float:
     if rejected >= n:
         return 1.0
 
+    # Above the rate seen the terms fall so fast that those left out are below a double's precision.
+    k = np.arange(rejected, max(-1, rejected - 10 * int(rejected**0.5) - 100), -1)
+    steps = np.log((k[:-1]) / (n - k[:-1] + 1))
+    choose = lgamma(n + 1) - lgamma(rejected + 1) - lgamma(n - rejected + 1)
+
     def tail(p: float) -> float:
-        logs = [lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + (k * log(p) if k else 0) + (n - k) * log(1 - p) for k in range(rejected + 1)]
-        return sum(exp(x) for x in logs)
+        first = choose + (rejected * log(p) if rejected else 0) + (n - rejected) * log(1 - p)
+        return float(np.exp(first + np.concatenate([[0.0], np.cumsum(steps + log((1 - p) / p))])).sum())
 
-    low, high = 0.0, 1.0
+    low, high = rejected / n, 1.0
     for _ in range(60):
         mid = (low + high) / 2
         low, high = (mid, high) if tail(mid) > error else (low, mid)
@@ -193,22 +253,19 @@ def choose_cutoffs(counts: dict[str, dict[float, int]], ordinary: dict[str, int]
 class Repetition:
     """Repetition of all texts of a table, with cutoffs for the strata of its languages.
 
-    The holdout is a sample of about ``holdout`` rows by hash, in a smaller table each row several
-    times with other passages; all rows are measured and judged.
-    Strata whose holdout is too small for any cutoff to be kept take the pooled cutoff, and where
+    Every row takes part in the learning of the cutoffs: once, or in a table of fewer than
+    ``holdout`` rows several times with other passages; all rows are measured and judged.
+    Strata with too few labelled texts for any cutoff to be kept take the pooled cutoff, and where
     that is not kept either, the strictest. Null and empty texts have no words and shares of 0.
     Repeated rows stay; an empty table has no rows and no strata.
     """
 
     def __init__(self, df: DataFrame, key: str = "doc_id", text: str = "text", language: str = "lang", holdout: int = HOLDOUT) -> None:
-        spark = df.sparkSession
-        size = df.count()
-        every, times = max(1, size // holdout), max(1, holdout // max(size, 1))
+        times = max(1, holdout // max(df.count(), 1))
         rows = df.select(F.col(key).alias(key), language_label(language).alias("stratum"), F.col(text).alias("text"))
-        place = F.xxhash64(F.lit("holdout"), key, "text")
-        sample = rows.filter(F.pmod(place, F.lit(every)) == 0).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(times))))
-        sample = sample.select("stratum", labelled(spark, "text", F.xxhash64(F.lit("planted"), place, "n")).alias("h"))
-        self.holdout = cut_lineage(sample.filter("h IS NOT NULL").select("stratum", "h.*"))
+        seed = F.xxhash64(F.lit("planted"), key, "text")
+        both = cut_lineage(rows.select(key, "stratum", repetition(df.sparkSession, "text", seed, times).alias("r")).select(key, "stratum", "r.*"))
+        self.holdout = both.select("stratum", F.inline("held"))
         rejected = [F.count_if(F.col("score") >= c).alias(str(i)) for i, c in enumerate(CUTOFFS)]
         held = self.holdout.filter("label = 'ordinary'").groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *rejected).collect()
         counts = {r.stratum: {c: r[str(i)] for i, c in enumerate(CUTOFFS)} for r in held}
@@ -219,23 +276,22 @@ class Repetition:
         self.pooled = pooled if pooled < inf else STRICTEST
         self.cutoffs = {k: v if v < inf else self.pooled for k, v in chosen.items()}
         self.key = key
-        self.measured = rows.select(key, "stratum", repetition(spark, "text").alias("r")).select(key, "stratum", "r.*")
+        self.measured = both.drop("held")
 
-    def flagged(self) -> DataFrame:
-        """All rows with their cutoff and whether their repeated share reaches it."""
+    def _cutoff(self) -> Column:
         cutoff = F.lit(self.pooled)
         for stratum, value in self.cutoffs.items():
             cutoff = F.when(F.col("stratum") == stratum, value).otherwise(cutoff)
-        return self.measured.withColumn("cutoff", cutoff).withColumn("rejected", F.col("repeated_share") >= F.col("cutoff"))
+        return cutoff
+
+    def flagged(self) -> DataFrame:
+        """All rows with their cutoff and whether their repeated share reaches it."""
+        return self.measured.withColumn("cutoff", self._cutoff()).withColumn("rejected", F.col("repeated_share") >= F.col("cutoff"))
 
     def report(self) -> DataFrame:
-        """A line for each stratum: its cutoff, held-out texts by label, those rejected, and the upper bound of false rejection."""
-        lines = self.holdout.groupBy("stratum", "label").agg(F.count(F.lit(1)).alias("texts"), F.collect_list("score").alias("scores")).collect()
-        rows = []
-        for r in sorted(lines, key=lambda r: (r.stratum, r.label)):
-            cutoff = self.cutoffs.get(r.stratum, self.pooled)
-            hit = sum(s >= cutoff for s in r.scores)
-            rows.append((r.stratum, float(cutoff), r.label, r.texts, hit, upper_bound(hit, r.texts, ERROR / (len(self.cutoffs) + 1))))
+        """A line for each stratum: its cutoff, labelled texts by label, those rejected, and the upper bound of false rejection."""
+        lines = self.holdout.withColumn("cutoff", self._cutoff()).groupBy("stratum", "label", "cutoff").agg(F.count(F.lit(1)).alias("texts"), F.count_if(F.col("score") >= F.col("cutoff")).alias("hit")).collect()
+        rows = [(r.stratum, float(r.cutoff), r.label, r.texts, r.hit, upper_bound(r.hit, r.texts, ERROR / (len(self.cutoffs) + 1))) for r in sorted(lines, key=lambda r: (r.stratum, r.label))]
         return self.holdout.sparkSession.createDataFrame(rows, "stratum string, cutoff double, label string, texts long, rejected long, upper_bound double")
 
     def repetitive(self) -> DataFrame:

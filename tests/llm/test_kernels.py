@@ -67,6 +67,23 @@ def test_planted_shares_are_what_is_measured():
     assert kinds == {"ordinary", "repetitive"} and repetition.planted("too short", 1) is None
 
 
+def test_planted_hashes_are_measured_as_the_planted_texts():
+    texts = [" ".join(f"w{i}x{k}" for k in range(40 + 7 * i)) + (" " + " ".join(f"w{i}x{k}" for k in range(12)) if i % 3 else "") for i in range(40)] + ["", None, "a b"]
+    cp, offs = kernel.code_points(pa.array(texts))
+    hashes, doc = repetition._words(cp, offs)[2:]
+    for turn in range(4):
+        seeds = np.arange(len(texts)).astype(np.uint64) * np.uint64(7919) + np.uint64(turn)
+        fits, share, score = repetition.planted_scores(hashes, doc, repetition._covered(hashes, doc), seeds)
+        made = [repetition.planted(t or "", int(s)) for t, s in zip(texts, seeds)]
+        assert fits.tolist() == [m is not None for m in made] and 20 < fits.sum() < len(texts)
+        for m, x, y in zip(made, share, score):
+            assert m is None or (m[1] == pytest.approx(x) and repetition.exact_share(m[0]) == pytest.approx(y))
+
+
+def test_upper_bound_of_many():
+    assert repetition.upper_bound(20_000_000, 1_000_000_000, 0.05) == pytest.approx(0.02 + 1.645 * (0.02 * 0.98 / 1e9) ** 0.5, abs=1e-7)
+
+
 def test_repetition_of_empty_and_null():
     (out,) = [repetition.shares(cp, offs) for cp, offs in kernel.blocks(pa.array(["", None, "a"]))]
     assert [x.tolist() for x in out] == [[0, 0, 1], [0, 0, 0], [0, 0, 0], [0, 0, 0]]

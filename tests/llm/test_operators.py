@@ -188,6 +188,17 @@ def test_learned_cutoffs_decide(spark, monkeypatch):
     assert repetition.Repetition(df.limit(2), holdout=1).cutoffs in ({}, {"en": repetition.STRICTEST})
 
 
+def test_cutoffs_come_from_every_text(spark):
+    """A table of many more texts than the holdout asks for: each is planted once, and a rare language learns from all of its texts."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(100)), "DE-de" if i % 5 == 0 else "en") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = repetition.Repetition(df, holdout=100)
+    assert {r.stratum: r["count"] for r in found.holdout.groupBy("stratum").count().collect()} == {"de": 600, "en": 2400}
+    assert sum(r.texts for r in found.report().collect()) == 3000
+    assert max(found.cutoffs.values()) < repetition.STRICTEST and set(found.cutoffs) == {"de", "en"}
+    assert found.flagged().count() == 3000 and found.repetitive().collect() == []
+
+
 SFT = "id string, direction string, policy_group string, messages array<struct<role: string, content: string>>, split string, component string"
 
 
