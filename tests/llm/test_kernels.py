@@ -251,6 +251,19 @@ def test_stratify_keeps_shares():
         assert abs(counts[place == k].sum() / counts.sum() - share) < 0.02
 
 
+def test_thin_labels_keep_shares_over_shards():
+    """A label of few components in each shard goes to the splits by their shares, not to the largest in every shard."""
+    share, got = np.array([0.8, 0.1, 0.1]), np.zeros(3)
+    for shard in range(100):
+        counts = np.ones((103, 3), int)
+        counts[:, 1], counts[:, 2] = np.arange(103) < 3, np.arange(103) >= 3
+        unit, label = np.nonzero(counts)
+        place = splits.stratify_cells(unit, label, counts[unit, label], 103, share[:, None] * counts.sum(0)[None, :], turn=shard)
+        got += np.bincount(place[:3], minlength=3)
+        assert abs(np.bincount(place, minlength=3) / 103 - share).max() < 0.02
+    assert abs(got / got.sum() - share).max() < 0.03
+
+
 def test_bare_message():
     assert splits.bare_message("Ａ b\tSTRAẞE é") == splits.bare_message("a B strasse é")
 

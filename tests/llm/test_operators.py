@@ -238,6 +238,32 @@ def test_shares_hold_in_many_shards(spark):
     assert got.count() == 3000 and all(r.groups_apart == 0 and abs(r.actual_share - r.target_share) < 0.01 and r.largest_drift < 0.03 for r in report)
 
 
+def test_labels_of_many_values(spark):
+    """Every value of a label column is apportioned, not only the most frequent ones, also where its rows would lie in many shards."""
+    df = sft_rows(spark, [("a" if i % 3 else "b", f"h{i}", f"prompt {i}") for i in range(4000)])
+    shares = {"train": 0.8, "validation": 0.1, "test": 0.1}
+    targets = spark.createDataFrame(list(shares.items()), "split string, target_share double")
+    value = F.col("id").cast("int") % 400
+    for shard_components in (20_000, 400):
+        got = splits.assign_splits(df, targets, ["direction", value], shard_components=shard_components)
+        by_value = got.groupBy(value.alias("v")).pivot("assigned_split", list(shares)).count().fillna(0).collect()
+        assert len(by_value) == 400 and sum((r.train, r.validation, r.test) == (8, 1, 1) for r in by_value) > 380
+        report = splits.split_report(got, targets, ["direction"]).collect()
+        assert all(abs(r.actual_share - r.target_share) < 0.005 and r.largest_drift < 0.03 for r in report)
+        assert max(r.largest_drift for r in splits.split_report(got, targets, [value]).collect()) == max(max(abs(r[k] / 10 - x) for k, x in shares.items()) for r in by_value)
+    again = splits.assign_splits(df.repartition(3), targets, ["direction", value], shard_components=400)
+    assert {(r.id, r.assigned_split) for r in again.collect()} == {(r.id, r.assigned_split) for r in got.collect()}
+
+
+def test_labels_that_no_two_rows_share(spark):
+    """Where each row has a value of its own, the rows still have the shares of the targets; a split without a share gets none."""
+    df = sft_rows(spark, [("a" if i % 3 else "b", f"h{i // 2 if i < 900 else 0}", f"prompt {i}") for i in range(1200)])
+    targets = spark.createDataFrame([("train", 0.7), ("val", 0.2), ("test", 0.1), ("none", None)], "split string, target_share double")
+    for shard_components in (20_000, 90):
+        report = splits.split_report(splits.assign_splits(df, targets, ["direction", "id"], shard_components=shard_components), targets).collect()
+        assert all(r.groups_apart == 0 and abs((r.actual_share or 0) - r.target_share) < 0.01 for r in report)
+
+
 def test_cut_texts(spark):
     whole = [(i, PROSE * 2 + f"The matter was remitted to the court of Town{chr(65 + i % 26)}.", "s") for i in range(30)]
     closed = [(100 + i, PROSE + "\n\nTHE END", "s") for i in range(5)]
